@@ -5,25 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logbrook.sources import spread, stream_topic
+from logbrook.sources import stream_topic
 
 
 def table(spark: SparkSession, folder: str, name: str, streaming: bool = False) -> DataFrame:
-    path = f"{folder}/{name}.parquet"
-    rows = spark.read.parquet(path)
-    return stream_topic(spark, path, rows.schema) if streaming else rows
+    """A test table. A stream takes a single file only as a match of a pattern, hence the braces."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return stream_topic(spark, f"{folder}/{{{name}}}.parquet", rows.schema) if streaming else rows
 
 
 def text_lines(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """Documents as lines without a key."""
     documents = table(spark, folder, "documents", streaming)
-    lines = documents.select(
+    return documents.select(
         F.lit("lines").alias("topic"),
         F.col("doc_id").alias("seq"),
         F.lit(None).cast("string").alias("key"),
         F.col("text").alias("value"),
     )
-    return lines if streaming else spread(lines, "seq")
 
 
 def _room() -> Column:

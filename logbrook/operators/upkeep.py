@@ -20,7 +20,7 @@ def retained(
     return kept if from_seq is None else kept.where(F.col("seq") >= from_seq)
 
 
-def log_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+def log_differences(left: DataFrame, right: DataFrame, only_different: bool = True) -> DataFrame:
     """Rows that two copies of a log do not hold equally often, with both counts.
 
     One grouping serves both directions, and copies combine before the shuffle.
@@ -30,7 +30,7 @@ def log_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     counted = sides.groupBy(*columns).agg(
         F.count_if("side").alias("n_left"), F.count_if(~F.col("side")).alias("n_right")
     )
-    return counted.where(F.col("n_left") != F.col("n_right"))
+    return counted.where(F.col("n_left") != F.col("n_right")) if only_different else counted
 
 
 def sequence_faults(records: DataFrame, key: str = "topic", seq: str = "seq", bits: int = BLOCK_BITS) -> DataFrame:

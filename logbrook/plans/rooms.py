@@ -76,20 +76,36 @@ def room_changes(moves: DataFrame, capacities: DataFrame, bits: int = BLOCK_BITS
     pass over the rooms: a row's joined values are the room's state after it,
     and the overflow stored so far is the state before it.
     """
-    settings = capacity_settings(capacities).withColumn("sub", F.lit(0))
-    log = _packed(merge(room_deltas(moves, bits), settings))
+    log = _packed(room_log(room_deltas(moves, bits), capacities))
     state = running_state(
-        log, "room", ["at"], sums={"occupants": F.col("delta")}, latest={"limit": F.col("size")}, bits=bits + 1
-    )
-    return state.select(
-        *_unpacked(),
+        log,
         "room",
-        "occupants",
-        F.col("limit").alias("size"),
-        (F.col("occupants") - F.col("limit")).alias("overflow"),
-        (F.col("prev_occupants") - F.col("prev_limit")).alias("prev_overflow"),
-        F.col("delta").isNotNull().alias("moved"),
-    ).where("occupants IS NOT NULL AND size IS NOT NULL")
+        ["at"],
+        sums={"occupants": F.when(F.col("moved"), F.col("amount"))},
+        latest={"size": F.when(~F.col("moved"), F.col("amount"))},
+        bits=bits + 1,
+    )
+    return matched(state.select(*_unpacked(), "room", "moved", "occupants", "size", "prev_occupants", "prev_size"))
+
+
+def room_log(deltas: DataFrame, capacities: DataFrame) -> DataFrame:
+    """Everything that happens to a room: ``seq, sub, room, moved, amount``.
+
+    The amount is a change of occupants if ``moved``, else a new size.
+    """
+    moved = deltas.select("seq", "sub", "room", F.lit(True).alias("moved"), F.col("delta").alias("amount"))
+    settings = capacity_settings(capacities).select(
+        "seq", F.lit(0).alias("sub"), "room", F.lit(False).alias("moved"), F.col("size").alias("amount")
+    )
+    return merge(moved, settings)
+
+
+def matched(state: DataFrame) -> DataFrame:
+    """The rows at which a room has both occupants and a size, with the overflow now and before."""
+    overflow = F.col("occupants") - F.col("size")
+    before = F.col("prev_occupants") - F.col("prev_size")
+    changes = state.withColumns({"overflow": overflow, "prev_overflow": before}).where(overflow.isNotNull())
+    return changes.drop("prev_occupants", "prev_size")
 
 
 def occupancy_join_capacity(moves: DataFrame, capacities: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Word count as a batch."""
+"""Word count as a batch, over lines with ``seq`` and ``value``."""
 
 from __future__ import annotations
 
@@ -6,24 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logbrook.functions import long_to_wire
-from logbrook.operators import running_state, word_counts, word_records
+from logbrook.operators import rekeyed, running_state, word_counts, word_records
+from logbrook.sources import spread
 
 LINE_BLOCK_BITS = 12
 """Lines hold many words each, so their blocks span fewer offsets."""
 
 
+def word_tokens(lines: DataFrame) -> DataFrame:
+    """``seq, pos, word``."""
+    return word_records(spread(lines.select("seq", "value"), "seq"), "seq")
+
+
+def word_rekey(lines: DataFrame) -> DataFrame:
+    """The words as records keyed by themselves."""
+    return rekeyed(word_tokens(lines), "seq", "pos")
+
+
 def word_count(lines: DataFrame) -> DataFrame:
     """``word, n``."""
-    return word_counts(lines)
+    return word_counts(spread(lines.select("seq", "value"), "seq"))
 
 
 def word_count_wire(lines: DataFrame) -> DataFrame:
     """The counts as the output topic holds them: word, and eight bytes."""
-    return word_counts(lines).select(F.col("word").alias("key"), long_to_wire(F.col("n")).alias("value"))
+    return word_count(lines).select(F.col("word").alias("key"), long_to_wire(F.col("n")).alias("value"))
 
 
 def word_count_changelog(lines: DataFrame, bits: int = LINE_BLOCK_BITS) -> DataFrame:
     """The count of a word after each of its occurrences: ``seq, pos, word, n``."""
-    found = word_records(lines, "seq")
-    counted = running_state(found, "word", ["seq", "pos"], sums={"n": F.lit(1)}, bits=bits)
+    counted = running_state(word_tokens(lines), "word", ["seq", "pos"], sums={"n": F.lit(1)}, bits=bits)
     return counted.select("seq", "pos", "word", "n")

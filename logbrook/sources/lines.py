@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logbrook.sources.topics import FILE_LIMIT
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Plain text lines as records without a key."""
     return _keyless(spark.read.option("lineSep", "\n").text(path))
 
 
-def stream_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same, following a folder."""
-    reader = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch)
-    return _keyless(reader.text(path))
+def stream_lines(spark: SparkSession, path: str, limit: dict | None = None) -> DataFrame:
+    """The same, following a folder; ``limit`` is the option that bounds a micro-batch."""
+    return _keyless(spark.readStream.option("lineSep", "\n").options(**(limit or FILE_LIMIT)).text(path))
 
 
 def _keyless(lines: DataFrame) -> DataFrame:

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 
 from logbrook.functions import long_from_wire
 
+# What one micro-batch may take in, and with it what one key may have in it.
+FILE_LIMIT = {"maxBytesPerTrigger": str(2 << 30)}
+BROKER_LIMIT = {"maxOffsetsPerTrigger": str(20_000_000)}
+
 RECORD = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -45,7 +49,8 @@ def _from_the_start(options: dict[str, str], topic: str) -> dict[str, str]:
 
 def stream_broker(spark: SparkSession, fmt: str, topic: str, options: dict[str, str], value: str = "string") -> DataFrame:
     """Follow a topic from its beginning."""
-    return from_broker(spark.readStream.format(fmt).options(**_from_the_start(options, topic)).load(), value)
+    options = _from_the_start({**BROKER_LIMIT, **options}, topic)
+    return from_broker(spark.readStream.format(fmt).options(**options).load(), value)
 
 
 def read_broker(spark: SparkSession, fmt: str, topic: str, options: dict[str, str], value: str = "string") -> DataFrame:
@@ -59,10 +64,10 @@ def to_broker(records: DataFrame) -> DataFrame:
 
 
 def stream_topic(
-    spark: SparkSession, path: str, schema: T.StructType | str = RECORD, files_per_batch: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType | str = RECORD, limit: dict | None = None
 ) -> DataFrame:
-    """Follow a topic folder. ``files_per_batch`` bounds what one micro-batch holds."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """Follow a topic folder; ``limit`` is the option that bounds a micro-batch."""
+    return spark.readStream.schema(schema).options(**(limit or FILE_LIMIT)).parquet(path)
 
 
 def read_topic(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
