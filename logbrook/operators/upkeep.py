@@ -14,9 +14,12 @@ RETENTION_HOURS = 168
 def retained(
     records: DataFrame, time: str = "timestamp", hours: int = RETENTION_HOURS, from_seq: int | None = None
 ) -> DataFrame:
-    """Records no older than ``hours`` before the newest and not below ``from_seq``."""
-    newest = records.agg(F.max(time)).scalar()
-    kept = records.where(F.col(time) >= newest - F.make_interval(hours=F.lit(hours)))
+    """Records no older than ``hours`` before the newest and not below ``from_seq``.
+
+    The bound is one value found first, so the scan can skip row groups by it.
+    """
+    oldest = records.agg(F.max(time) - F.make_interval(hours=F.lit(hours))).scalar()
+    kept = records.where(F.col(time) >= oldest)
     return kept if from_seq is None else kept.where(F.col("seq") >= from_seq)
 
 

@@ -1,0 +1,46 @@
+import datetime
+
+from pyspark.sql import functions as F
+
+from logbrook.operators import latest_per_key, log_differences, merge, retained, sequence_faults
+
+NEWEST = datetime.datetime(2024, 3, 8, 12)
+
+
+def test_retention_by_time_and_offset(spark):
+    ages = [0, 1, 168, 169, 500]
+    log = [(seq, NEWEST - datetime.timedelta(hours=age)) for seq, age in enumerate(ages)]
+    frame = spark.createDataFrame(log, "seq bigint, timestamp timestamp_ntz")
+    assert {row.seq for row in retained(frame).collect()} == {0, 1, 2}
+    assert {row.seq for row in retained(frame, hours=1).collect()} == {0, 1}
+    assert {row.seq for row in retained(frame, from_seq=1).collect()} == {1, 2}
+
+
+def test_differences_count_copies_and_nulls(spark):
+    schema = "seq bigint, value string"
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None), (4, "d")], schema)
+    right = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d")], schema)
+    assert {tuple(row) for row in log_differences(left, right).collect()} == {
+        (1, "a", 2, 1),
+        (2, "b", 1, 0),
+        (2, "B", 0, 1),
+    }
+    assert log_differences(left, left).isEmpty()
+
+
+def test_sequence_faults_across_blocks(spark):
+    met = [("t", seq) for seq in (0, 1, 2, 6, 7, 7, 7, 20)] + [("u", 5), ("u", 6)]
+    frame = spark.createDataFrame(met, "topic string, seq bigint")
+    for bits in (1, 3, 18):
+        assert {tuple(row) for row in sequence_faults(frame, bits=bits).collect()} == {
+            ("t", 6, "gap", 3),
+            ("t", 20, "gap", 12),
+            ("t", 7, "repeat", 2),
+        }
+
+
+def test_latest_skips_nulls_and_merge_keeps_copies(spark):
+    log = [(1, "a", "x"), (2, "a", None), (3, None, "y"), (4, "b", "z"), (5, "b", "w")]
+    frame = spark.createDataFrame(log, "seq bigint, key string, value string")
+    assert {tuple(row) for row in latest_per_key(frame).collect()} == {("a", "x"), ("b", "w")}
+    assert merge(frame, frame.withColumn("more", F.lit(1))).count() == 10
