@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -29,6 +29,10 @@ COMMIT_EVERY = "100 milliseconds"
 
 TO_END = {"availableNow": True}
 
+# Into how many groups the keys of a processor fall, hence how many tasks can share
+# its work. A checkpoint is tied to it: another number would not find the old states.
+BUCKETS = 1024
+
 
 @contextmanager
 def _stateful(spark: SparkSession) -> Iterator[None]:
@@ -80,9 +84,13 @@ def word_count_stream(lines: DataFrame, out: str, checkpoint: str, trigger: dict
     return _start_changes(word_counts(lines), out, checkpoint, trigger)
 
 
+def _bucketed(rows: DataFrame, key: str) -> GroupedData:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS))).groupBy("bucket")
+
+
 def _moves(moves: DataFrame) -> DataFrame:
     entered = complete(moves).select("seq", F.col("key").alias("student"), F.col("value").alias("room"))
-    return entered.groupBy("student").transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
+    return _bucketed(entered, "student").transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
 
 
 def room_occupancy_stream(moves: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -92,7 +100,7 @@ def room_occupancy_stream(moves: DataFrame, out: str, checkpoint: str, trigger:
 
 
 def _rooms(log: DataFrame) -> DataFrame:
-    return log.groupBy("room").transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")
+    return _bucketed(log, "room").transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")
 
 
 def room_occupancy_changelog_stream(
