@@ -89,33 +89,40 @@ def _replay_print_long(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------------------
 
 
+def _table(changes: DataFrame, label: str, key: str, value: str) -> DataFrame:
+    """Run a stream of table changes to its end; the table it leads to."""
+    spark = changes.sparkSession
+    out = work_dir(spark, label)
+    streaming.start_changes(changes, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
+    return streaming.latest_changes(spark, f"{out}/log", key, value, f"{key} string, {value} bigint")
+
+
+def _log(records: DataFrame, label: str) -> DataFrame:
+    """Run a stream of records to its end; the topic it wrote."""
+    spark = records.sparkSession
+    out = work_dir(spark, label)
+    streaming.start_topic(records, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
+    return sources.read_topic(spark, f"{out}/log")
+
+
 def _word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
-    out = work_dir(spark, "word-counts")
     lines = fixtures.text_lines(spark, folder, streaming=True)
-    streaming.word_count_stream(lines, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
-    return streaming.latest_changes(spark, f"{out}/log", "word", "n", "word string, n bigint")
+    return _table(streaming.running_word_counts(lines), "word-counts", "word", "n")
 
 
 def _room_occupancy_stream(spark: SparkSession, folder: str) -> DataFrame:
-    out = work_dir(spark, "occupancy")
     moves = fixtures.moves(spark, folder, streaming=True)
-    streaming.room_occupancy_stream(moves, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
-    return streaming.latest_changes(spark, f"{out}/log", "room", "occupants", "room string, occupants bigint")
+    return _table(streaming.running_occupancy(moves), "occupancy", "room", "occupants")
 
 
 def _room_occupancy_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
-    out = work_dir(spark, "occupancy-changelog")
     moves = fixtures.moves(spark, folder, streaming=True)
-    query = streaming.room_occupancy_changelog_stream(moves, f"{out}/log", f"{out}/state", streaming.TO_END)
-    query.awaitTermination()
-    return sources.read_topic(spark, f"{out}/log")
+    return _log(streaming.running_occupancy_changelog(moves), "occupancy-changelog")
 
 
 def _overflow_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    out = work_dir(spark, "alerts")
-    inputs = [read(spark, folder, streaming=True) for read in (fixtures.moves, fixtures.capacities)]
-    streaming.overflow_alerts_stream(*inputs, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
-    return sources.read_topic(spark, f"{out}/log")
+    moves, capacities = (read(spark, folder, streaming=True) for read in (fixtures.moves, fixtures.capacities))
+    return _log(streaming.running_alerts(moves, capacities), "alerts")
 
 
 def _replay_equivalence(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,11 +170,8 @@ def _json_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _topic_mirror(spark: SparkSession, folder: str) -> DataFrame:
-    out = work_dir(spark, "mirror")
     inputs = [read(spark, folder, streaming=True) for read in (fixtures.moves, fixtures.capacities)]
-    records = operators.merge(*inputs).select("topic", "seq", "key", "value")
-    streaming.mirror_topic(records, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
-    return sources.read_topic(spark, f"{out}/log")
+    return _log(operators.merge(*inputs).select("topic", "seq", "key", "value"), "mirror")
 
 
 def _retention_window(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Word count as a batch, over lines with ``seq`` and ``value``."""
+"""Word count as a batch, over lines with a ``value`` and, where words keep their place, a ``seq``."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def word_rekey(lines: DataFrame) -> DataFrame:
 
 def word_count(lines: DataFrame) -> DataFrame:
     """``word, n``."""
-    return word_counts(spread(lines.select("seq", "value"), "seq"))
+    return word_counts(spread(lines.select("value")))
 
 
 def word_count_wire(lines: DataFrame) -> DataFrame:

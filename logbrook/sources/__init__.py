@@ -9,6 +9,7 @@ from logbrook.sources.topics import (
     stream_broker,
     stream_topic,
     to_broker,
+    write_broker,
     write_topic,
 )
 
@@ -24,5 +25,6 @@ __all__ = [
     "stream_lines",
     "stream_topic",
     "to_broker",
+    "write_broker",
     "write_topic",
 ]

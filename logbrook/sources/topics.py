@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logbrook.functions import long_from_wire
+from logbrook.functions import long_from_wire, long_to_wire
 
 # What one micro-batch may take in, and with it what one key may have in it.
 FILE_LIMIT = {"maxBytesPerTrigger": str(2 << 30)}
@@ -58,9 +58,16 @@ def read_broker(spark: SparkSession, fmt: str, topic: str, options: dict[str, st
     return from_broker(spark.read.format(fmt).options(**_from_the_start(options, topic)).load(), value)
 
 
-def to_broker(records: DataFrame) -> DataFrame:
-    """The two columns a connector's sink takes."""
-    return records.select("key", "value")
+def to_broker(records: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+    """The two columns a connector's sink takes; a bigint becomes its wire form, anything else text."""
+    number = records.schema[value].dataType == T.LongType()
+    body = long_to_wire(F.col(value)) if number else F.col(value).cast("string")
+    return records.select(F.col(key).cast("string").alias("key"), body.alias("value"))
+
+
+def write_broker(records: DataFrame, fmt: str, topic: str, options: dict[str, str], key: str, value: str) -> None:
+    """Append a batch of records to a topic."""
+    to_broker(records, key, value).write.format(fmt).options(topic=topic, **options).mode("append").save()
 
 
 def stream_topic(

@@ -4,20 +4,24 @@ from logbrook.streaming.pipelines import (
     TO_END,
     copy_lines,
     latest_changes,
-    mirror_topic,
-    overflow_alerts_stream,
-    room_occupancy_changelog_stream,
-    room_occupancy_stream,
-    word_count_stream,
+    running_alerts,
+    running_occupancy,
+    running_occupancy_changelog,
+    running_word_counts,
+    start_broker,
+    start_changes,
+    start_topic,
 )
 
 __all__ = [
     "TO_END",
     "copy_lines",
     "latest_changes",
-    "mirror_topic",
-    "overflow_alerts_stream",
-    "room_occupancy_changelog_stream",
-    "room_occupancy_stream",
-    "word_count_stream",
+    "running_alerts",
+    "running_occupancy",
+    "running_occupancy_changelog",
+    "running_word_counts",
+    "start_broker",
+    "start_changes",
+    "start_topic",
 ]

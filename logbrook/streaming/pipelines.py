@@ -1,7 +1,7 @@
 """The streaming queries.
 
-All take streaming DataFrames with the columns of their batch forms and start a
-query. State is in RocksDB and in the checkpoint folder: starting again on the
+The ``running_`` functions turn streaming DataFrames with the columns of their
+batch forms into streaming results, and a sink starts them. State is in RocksDB and in the checkpoint folder: starting again on the
 same folder goes on where the query stopped, a new folder reprocesses the log.
 ``TO_END`` as trigger makes a query end once it has read what is there.
 """
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from logbrook.operators import merge, word_counts
 from logbrook.operators.grouping import complete
 from logbrook.plans.rooms import alert, matched, room_log
+from logbrook.sources import to_broker
 from logbrook.streaming.processors import MOVES_SCHEMA, ROOMS_SCHEMA, Moves, Rooms
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -53,7 +54,10 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> S
     return writer.trigger(**(trigger or {"processingTime": COMMIT_EVERY})).start()
 
 
-def _start_changes(changes: DataFrame, out: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+# --- sinks -------------------------------------------------------------------------------
+
+
+def start_changes(changes: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write a table's changed rows, one folder per micro-batch.
 
     A batch that is repeated after a failure replaces its folder, so the log of
@@ -67,64 +71,74 @@ def _start_changes(changes: DataFrame, out: str, checkpoint: str, trigger: dict
         return _start(changes.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
 
 
-def _start_topic(rows: DataFrame, out: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-    writer = rows.writeStream.outputMode("append").format("parquet").option("path", out)
-    with _stateful(rows.sparkSession):
-        return _start(writer, checkpoint, trigger)
-
-
 def latest_changes(spark: SparkSession, out: str, key: str, value: str, schema: str) -> DataFrame:
     """The table that a log of changes leads to."""
     changes = spark.read.schema(f"{schema}, batch bigint").parquet(out)
     return changes.groupBy(key).agg(F.max_by(value, "batch").alias(value))
 
 
-def word_count_stream(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Running word counts; each micro-batch passes on the words it changed."""
-    return _start_changes(word_counts(lines), out, checkpoint, trigger)
+def start_topic(records: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append records to a topic folder, each exactly once."""
+    writer = records.writeStream.outputMode("append").format("parquet").option("path", out)
+    with _stateful(records.sparkSession):
+        return _start(writer, checkpoint, trigger)
 
 
-def _bucketed(rows: DataFrame, key: str) -> GroupedData:
-    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS))).groupBy("bucket")
+def start_broker(
+    rows: DataFrame,
+    key: str,
+    value: str,
+    fmt: str,
+    topic: str,
+    options: dict[str, str],
+    checkpoint: str,
+    trigger: dict | None = None,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Send two columns to a broker's topic; tables (counts) need the mode ``update``."""
+    writer = to_broker(rows, key, value).writeStream.outputMode(mode).format(fmt).options(topic=topic, **options)
+    with _stateful(rows.sparkSession):
+        return _start(writer, checkpoint, trigger)
 
 
-def _moves(moves: DataFrame) -> DataFrame:
-    entered = complete(moves).select("seq", F.col("key").alias("student"), F.col("value").alias("room"))
-    return _bucketed(entered, "student").transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
+def copy_lines(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Follow text lines and append them to text files."""
+    writer = lines.select("value").writeStream.format("text").option("lineSep", "\n").option("path", out)
+    return _start(writer, checkpoint, trigger)
 
 
-def room_occupancy_stream(moves: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Running occupancy; each micro-batch passes on the rooms it changed."""
-    occupied = _moves(moves).groupBy("room").agg(F.sum("delta").alias("occupants"))
-    return _start_changes(occupied, out, checkpoint, trigger)
+# --- tables and changelogs ---------------------------------------------------------------
 
 
-def _rooms(log: DataFrame) -> DataFrame:
-    return _bucketed(log, "room").transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")
+def running_word_counts(lines: DataFrame) -> DataFrame:
+    """``word, n``, to be started in update mode."""
+    return word_counts(lines)
 
 
-def room_occupancy_changelog_stream(
-    moves: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """The occupancy after every single change, appended to a topic folder exactly once."""
+def running_occupancy(moves: DataFrame) -> DataFrame:
+    """``room, occupants``, to be started in update mode."""
+    return _moves(moves).groupBy("room").agg(F.sum("delta").alias("occupants"))
+
+
+def running_occupancy_changelog(moves: DataFrame) -> DataFrame:
+    """``seq, sub, room, occupants`` after every single change."""
     log = _moves(moves).withColumns({"moved": F.lit(True), "amount": F.col("delta")}).drop("delta")
-    return _start_topic(_rooms(log).select("seq", "sub", "room", "occupants"), out, checkpoint, trigger)
+    return _rooms(log).select("seq", "sub", "room", "occupants")
 
 
-def overflow_alerts_stream(
-    moves: DataFrame, capacities: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Overflow messages, appended to a topic folder exactly once."""
-    changes = matched(_rooms(room_log(_moves(moves), capacities)))
-    return _start_topic(alert(changes), out, checkpoint, trigger)
+def running_alerts(moves: DataFrame, capacities: DataFrame) -> DataFrame:
+    """``seq, sub, room, status``: the overflow messages."""
+    return alert(matched(_rooms(room_log(_moves(moves), capacities))))
 
 
-def mirror_topic(records: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Follow one topic and append its records unchanged to another."""
-    return _start_topic(records, out, checkpoint, trigger)
+def _bucketed(rows: DataFrame, key: str) -> GroupedData:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS))).groupBy("bucket")
 
 
-def copy_lines(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Follow text lines and append them to text files."""
-    writer = lines.select("value").writeStream.format("text").option("lineSep", "\n").option("path", out)
-    return _start(writer, checkpoint, trigger)
+def _moves(moves: DataFrame) -> DataFrame:
+    entered = complete(moves).select("seq", F.col("key").alias("student"), F.col("value").alias("room"))
+    return _bucketed(entered, "student").transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
+
+
+def _rooms(log: DataFrame) -> DataFrame:
+    return _bucketed(log, "room").transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")

@@ -25,8 +25,8 @@ def write_in_order(log, folder, pieces):
     return str(folder)
 
 
-def run(start, *arguments):
-    query = start(*arguments, streaming.TO_END)
+def run(start, rows, out):
+    query = start(rows, out, out + "-state", streaming.TO_END)
     query.awaitTermination()
     return query
 
@@ -46,7 +46,7 @@ def test_golden_alerts_in_pieces(spark, golden_log, tmp_path, monkeypatch, piece
     path = write_in_order(golden_log, tmp_path / "in", pieces)
     log = sources.stream_topic(spark, path, golden.SCHEMA, ONE_FILE)
     out = str(tmp_path / "alerts")
-    query = run(streaming.overflow_alerts_stream, *golden.topics(log), out, out + "-state")
+    query = run(streaming.start_topic, streaming.running_alerts(*golden.topics(log)), out)
     assert rows(sources.read_topic(spark, out)) == golden.ALERTS
     assert query.lastProgress["batchId"] >= pieces - 1
 
@@ -55,11 +55,11 @@ def test_golden_occupancy_in_pieces(spark, golden_log, tmp_path):
     path = write_in_order(golden_log, tmp_path / "in", 3)
     moves, _ = golden.topics(sources.stream_topic(spark, path, golden.SCHEMA, ONE_FILE))
     out = str(tmp_path / "occupancy")
-    run(streaming.room_occupancy_stream, moves, out, out + "-state")
+    run(streaming.start_changes, streaming.running_occupancy(moves), out)
     assert rows(occupancy(spark, out)) == golden.OCCUPANCY
 
     out = str(tmp_path / "changelog")
-    run(streaming.room_occupancy_changelog_stream, moves, out, out + "-state")
+    run(streaming.start_topic, streaming.running_occupancy_changelog(moves), out)
     assert rows(sources.read_topic(spark, out)) == golden.CHANGELOG
 
 
@@ -68,7 +68,7 @@ def test_large_capacities_keep_every_digit(spark, tmp_path):
     path = write_in_order(spark.createDataFrame(log, golden.SCHEMA), tmp_path / "in", 2)
     out = str(tmp_path / "out")
     inputs = golden.topics(sources.stream_topic(spark, path, golden.SCHEMA, ONE_FILE))
-    run(streaming.overflow_alerts_stream, *inputs, out, out + "-state")
+    run(streaming.start_topic, streaming.running_alerts(*inputs), out)
     assert rows(sources.read_topic(spark, out)) == {(2, 0, "A", "1")}
 
 
@@ -80,14 +80,14 @@ def test_events_in_pieces_with_a_restart(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     write_in_order(log.where(F.col("seq") <= middle), path, 3)
     stream = golden.topics(sources.stream_topic(spark, path, golden.SCHEMA, ONE_FILE))
-    run(streaming.overflow_alerts_stream, *stream, out, out + "-state")
+    run(streaming.start_topic, streaming.running_alerts(*stream), out)
     write_in_order(log.where(F.col("seq") > middle), path, 4)
-    run(streaming.overflow_alerts_stream, *stream, out, out + "-state")
+    run(streaming.start_topic, streaming.running_alerts(*stream), out)
     expected = rows(rooms.overflow_alerts(*inputs))
     assert rows(sources.read_topic(spark, out)) == expected
 
     replay = str(tmp_path / "replay")
-    run(streaming.overflow_alerts_stream, *stream, replay, replay + "-state")
+    run(streaming.start_topic, streaming.running_alerts(*stream), replay)
     assert rows(sources.read_topic(spark, replay)) == expected
 
 
@@ -96,7 +96,8 @@ def test_word_counts_in_pieces(spark, tmp_path):
     schema = "topic string, seq bigint, key string, value string"
     path = write_in_order(lines, tmp_path / "in", 3)
     out = str(tmp_path / "out")
-    run(streaming.word_count_stream, sources.stream_topic(spark, path, schema, ONE_FILE), out, out + "-state")
+    stream = sources.stream_topic(spark, path, schema, ONE_FILE)
+    run(streaming.start_changes, streaming.running_word_counts(stream), out)
     counts = streaming.latest_changes(spark, out, "word", "n", "word string, n bigint")
     assert rows(counts) == rows(word_count.word_count(lines))
     assert spark.read.parquet(out).select("batch").distinct().count() == 3
@@ -107,7 +108,7 @@ def test_session_settings_are_left_alone(spark, golden_log, tmp_path):
     before = [spark.conf.get(name, None) for name in names]
     path = write_in_order(golden_log, tmp_path / "in", 1)
     moves, _ = golden.topics(sources.stream_topic(spark, path, golden.SCHEMA))
-    run(streaming.room_occupancy_stream, moves, str(tmp_path / "out"), str(tmp_path / "state"))
+    run(streaming.start_changes, streaming.running_occupancy(moves), str(tmp_path / "out"))
     assert [spark.conf.get(name, None) for name in names] == before
 
 
@@ -116,7 +117,7 @@ def test_timed_trigger_follows_a_growing_topic(spark, tmp_path):
     moves = spark.createDataFrame([row for row in golden.LOG if row[1] == golden.STUDENT], golden.SCHEMA)
     write_in_order(moves.where("seq < 3"), path, 1)
     stream = sources.stream_topic(spark, path, golden.SCHEMA)
-    query = streaming.room_occupancy_stream(stream, out, out + "-state")
+    query = streaming.start_changes(streaming.running_occupancy(stream), out, out + "-state")
     try:
         query.processAllAvailable()
         assert rows(occupancy(spark, out)) == {("A", 2)}
@@ -125,3 +126,28 @@ def test_timed_trigger_follows_a_growing_topic(spark, tmp_path):
         assert rows(occupancy(spark, out)) == golden.OCCUPANCY
     finally:
         query.stop()
+
+
+def test_text_lines_to_a_broker(spark, tmp_path):
+    """A file format stands in for the connector: it gets the same two columns."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "lines.txt").write_text("one two\n\ntwo, TWO")
+    lines = sources.stream_lines(spark, str(tmp_path / "in"))
+    records = lines.select("key", "value")
+    options = {"path": str(tmp_path / "out")}
+    query = streaming.start_broker(
+        records, "key", "value", "parquet", "lines", options, str(tmp_path / "state"), streaming.TO_END
+    )
+    query.awaitTermination()
+    assert {tuple(row) for row in spark.read.parquet(options["path"]).collect()} == {
+        (None, "one two"), (None, ""), (None, "two, TWO"),
+    }
+    counts = word_count.word_count(sources.read_lines(spark, str(tmp_path / "in")))
+    assert rows(counts) == {("one", 1), ("two", 3), ("", 1)}
+
+
+def test_counts_to_a_broker_are_wire_bytes(spark, tmp_path):
+    counts = word_count.word_count(spark.createDataFrame([("a b a",)], "value string"))
+    sources.write_broker(counts, "parquet", "counts", {"path": str(tmp_path / "out")}, "word", "n")
+    found = {row.key: bytes(row.value) for row in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {"a": (2).to_bytes(8, "big"), "b": (1).to_bytes(8, "big")}
