@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,17 @@ def parse_long(text: Column) -> Column:
     return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
+def wrapping_minus(count: Column, number: Column) -> Column:
+    """A count less any bigint, wrapping around at 64 bits instead of failing.
+
+    Only numbers near the lower end can leave the range, so the detour over
+    decimals is taken for those alone.
+    """
+    exact = count.cast("decimal(20,0)") - number.cast("decimal(20,0)")
+    wrapped = F.when(exact >= F.lit(Decimal(2**63)), exact - F.lit(Decimal(2**64))).otherwise(exact)
+    return F.when(number > -(2**62), count - number).otherwise(wrapped.cast("bigint"))
+
+
 def long_to_wire(number: Column) -> Column:
     """A bigint as eight big-endian bytes."""
     return F.to_binary(F.lpad(F.hex(number), 16, "0"), F.lit("hex"))

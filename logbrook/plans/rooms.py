@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logbrook.functions import parse_long
+from logbrook.functions import parse_long, wrapping_minus
 from logbrook.operators import latest_per_key, merge, regroup_changes, regrouped_counts, running_state
 from logbrook.operators.running import BLOCK_BITS
 
@@ -102,9 +102,11 @@ def room_log(deltas: DataFrame, capacities: DataFrame) -> DataFrame:
 
 def matched(state: DataFrame) -> DataFrame:
     """The rows at which a room has both occupants and a size, with the overflow now and before."""
-    overflow = F.col("occupants") - F.col("size")
-    before = F.col("prev_occupants") - F.col("prev_size")
-    changes = state.withColumns({"overflow": overflow, "prev_overflow": before}).where(overflow.isNotNull())
+    overflow = wrapping_minus(F.col("occupants"), F.col("size"))
+    before = wrapping_minus(F.col("prev_occupants"), F.col("prev_size"))
+    changes = state.withColumns({"overflow": overflow, "prev_overflow": before}).where(
+        "occupants IS NOT NULL AND size IS NOT NULL"
+    )
     return changes.drop("prev_occupants", "prev_size")
 
 
@@ -131,7 +133,7 @@ def room_overflow(moves: DataFrame, capacities: DataFrame, bits: int = BLOCK_BIT
 def room_overflow_latest(moves: DataFrame, capacities: DataFrame) -> DataFrame:
     """By how much each room is over now. Needs the two latest tables only."""
     both = room_occupancy(moves).join(capacity_latest(capacities), "room")
-    return both.select("room", (F.col("occupants") - F.col("size")).alias("overflow"))
+    return both.select("room", wrapping_minus(F.col("occupants"), F.col("size")).alias("overflow"))
 
 
 def room_change_with_previous(moves: DataFrame, capacities: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:

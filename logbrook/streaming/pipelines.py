@@ -30,15 +30,21 @@ COMMIT_EVERY = "100 milliseconds"
 
 TO_END = {"availableNow": True}
 
-# Into how many groups the keys of a processor fall, hence how many tasks can share
-# its work. A checkpoint is tied to it: another number would not find the old states.
+# Into how many groups the keys of a processor fall by default, hence how many tasks can
+# share its work. A checkpoint is tied to its number: another would not find the old states.
 BUCKETS = 1024
 
 
 @contextmanager
 def _stateful(spark: SparkSession) -> Iterator[None]:
-    """Settings a stateful query takes over when it starts: RocksDB, a state partition per core."""
-    wanted = {STORE: ROCKSDB, PARTITIONS: str(spark.sparkContext.defaultParallelism)}
+    """Settings a stateful query takes over when it starts.
+
+    State is kept in RocksDB, in as many partitions as the session shuffles
+    into; on a single machine, in no more than it has cores.
+    """
+    wanted = {STORE: ROCKSDB, PARTITIONS: spark.conf.get(PARTITIONS)}
+    if spark.sparkContext.master.startswith("local"):
+        wanted[PARTITIONS] = str(min(int(wanted[PARTITIONS]), spark.sparkContext.defaultParallelism))
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
@@ -115,30 +121,30 @@ def running_word_counts(lines: DataFrame) -> DataFrame:
     return word_counts(lines)
 
 
-def running_occupancy(moves: DataFrame) -> DataFrame:
+def running_occupancy(moves: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``room, occupants``, to be started in update mode."""
-    return _moves(moves).groupBy("room").agg(F.sum("delta").alias("occupants"))
+    return _moves(moves, buckets).groupBy("room").agg(F.sum("delta").alias("occupants"))
 
 
-def running_occupancy_changelog(moves: DataFrame) -> DataFrame:
+def running_occupancy_changelog(moves: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``seq, sub, room, occupants`` after every single change."""
-    log = _moves(moves).withColumns({"moved": F.lit(True), "amount": F.col("delta")}).drop("delta")
-    return _rooms(log).select("seq", "sub", "room", "occupants")
+    log = _moves(moves, buckets).withColumns({"moved": F.lit(True), "amount": F.col("delta")}).drop("delta")
+    return _rooms(log, buckets).select("seq", "sub", "room", "occupants")
 
 
-def running_alerts(moves: DataFrame, capacities: DataFrame) -> DataFrame:
+def running_alerts(moves: DataFrame, capacities: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``seq, sub, room, status``: the overflow messages."""
-    return alert(matched(_rooms(room_log(_moves(moves), capacities))))
+    return alert(matched(_rooms(room_log(_moves(moves, buckets), capacities), buckets)))
 
 
-def _bucketed(rows: DataFrame, key: str) -> GroupedData:
-    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS))).groupBy("bucket")
+def _bucketed(rows: DataFrame, key: str, buckets: int) -> GroupedData:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).groupBy("bucket")
 
 
-def _moves(moves: DataFrame) -> DataFrame:
+def _moves(moves: DataFrame, buckets: int) -> DataFrame:
     entered = complete(moves).select("seq", F.col("key").alias("student"), F.col("value").alias("room"))
-    return _bucketed(entered, "student").transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
+    return _bucketed(entered, "student", buckets).transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
 
 
-def _rooms(log: DataFrame) -> DataFrame:
-    return _bucketed(log, "room").transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")
+def _rooms(log: DataFrame, buckets: int) -> DataFrame:
+    return _bucketed(log, "room", buckets).transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")

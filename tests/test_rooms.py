@@ -57,3 +57,9 @@ def test_occupants_add_up_to_students(spark):
     students = moves.select("key").distinct().count()
     assert rooms.room_occupancy(moves).agg({"occupants": "sum"}).first()[0] == students
     assert rooms.room_deltas(moves).agg({"delta": "sum"}).first()[0] == students
+
+
+def test_lowest_capacity_wraps_around(spark):
+    log = [(0, golden.CLASSROOM, "A", str(-(2**63))), (1, golden.STUDENT, "s1", "A"), (2, golden.CLASSROOM, "A", "-5")]
+    inputs = golden.topics(spark.createDataFrame(log, golden.SCHEMA))
+    assert rows(rooms.room_overflow(*inputs)) == {(1, 1, "A", 1 - 2**63), (2, 0, "A", 6)}

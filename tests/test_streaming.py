@@ -41,12 +41,11 @@ def golden_log(spark):
 
 
 @pytest.mark.parametrize("pieces", [1, 3, 12])
-def test_golden_alerts_in_pieces(spark, golden_log, tmp_path, monkeypatch, pieces):
-    monkeypatch.setattr(streaming.pipelines, "BUCKETS", pieces)
+def test_golden_alerts_in_pieces(spark, golden_log, tmp_path, pieces):
     path = write_in_order(golden_log, tmp_path / "in", pieces)
     log = sources.stream_topic(spark, path, golden.SCHEMA, ONE_FILE)
     out = str(tmp_path / "alerts")
-    query = run(streaming.start_topic, streaming.running_alerts(*golden.topics(log)), out)
+    query = run(streaming.start_topic, streaming.running_alerts(*golden.topics(log), buckets=pieces), out)
     assert rows(sources.read_topic(spark, out)) == golden.ALERTS
     assert query.lastProgress["batchId"] >= pieces - 1
 
