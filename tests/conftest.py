@@ -10,6 +10,6 @@ from logbrook.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, memory="4g")
+    session = local_session(4, memory="4g", **{"spark.sql.shuffle.partitions": "3"})
     session.sparkContext.setLogLevel("ERROR")
     return session
