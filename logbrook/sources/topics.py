@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from logbrook.functions import long_from_wire, long_to_wire
 
 # What one micro-batch may take in, and with it what one key may have in it.
-FILE_LIMIT = {"maxBytesPerTrigger": str(2 << 30)}
+FILE_LIMIT = {"maxBytesPerTrigger": str(1 << 30)}
 BROKER_LIMIT = {"maxOffsetsPerTrigger": str(20_000_000)}
 
 RECORD = T.StructType(
