@@ -8,7 +8,8 @@ carried along the blocks by a second window. A block is a function of the
 offset alone, so a lost and repeated task sees the same one.
 
 Rows are shuffled once: both the block summaries and the windows read that one
-exchange, and the inherited values are joined on its keys. Where no key reaches
+exchange, and the inherited values are merged in on its keys, by which the
+windows have sorted the rows already. Nothing is broadcast. Where no key reaches
 a second block, adaptive execution finds nothing to join and drops the join.
 """
 
@@ -51,7 +52,8 @@ def running_state(
     windows = {name: step.over(upto) for name, step in steps.items()}
     windows |= {f"prev_{name}": step.over(before) for name, step in steps.items()}
     local = blocked.withColumns(windows)
-    rows = local.join(_inherited(blocked, key, order, sums, latest), [key, "block"], "left")
+    inherited = _inherited(blocked, key, order, sums, latest).hint("merge")
+    rows = local.join(inherited, [key, "block"], "left")
     joined = {}
     for name in steps:
         carried = F.col(f"carried_{name}")

@@ -131,8 +131,8 @@ def room_overflow(moves: DataFrame, capacities: DataFrame, bits: int = BLOCK_BIT
 
 
 def room_overflow_latest(moves: DataFrame, capacities: DataFrame) -> DataFrame:
-    """By how much each room is over now. Needs the two latest tables only."""
-    both = room_occupancy(moves).join(capacity_latest(capacities), "room")
+    """By how much each room is over now. Needs the two latest tables only, which both lie by room."""
+    both = room_occupancy(moves).join(capacity_latest(capacities).hint("merge"), "room")
     return both.select("room", wrapping_minus(F.col("occupants"), F.col("size")).alias("overflow"))
 
 

@@ -59,6 +59,7 @@ def test_rows_are_shuffled_once(spark):
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("ReusedExchange") == 1
+    assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan
 
 
 def test_no_task_gets_a_whole_hot_key(spark):
