@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -19,8 +20,12 @@ from logbrook.operators import merge, word_counts
 from logbrook.operators.grouping import complete
 from logbrook.plans.rooms import alert, matched, room_log
 from logbrook.sources import to_broker
+from logbrook.streaming import processors
 from logbrook.streaming.processors import MOVES_SCHEMA, ROOMS_SCHEMA, Moves, Rooms
 
+# Executors get the processors themselves, so that the package need not be installed there.
+cloudpickle.register_pickle_by_value(processors)
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS = "spark.sql.shuffle.partitions"
