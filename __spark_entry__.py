@@ -15,6 +15,15 @@ from logbrook import fixtures, functions, operators, sources, streaming
 from logbrook.plans import rooms, word_count
 from logbrook.session import work_dir
 
+# The corpus operators may be left out; whatever else is missing is an error.
+try:
+    import corpus_pipeline
+    from logbrook.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "logbrook.llm"):
+        raise
+    corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +209,10 @@ def _sequence_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return log_queries() | ({} if corpus is None else {**corpus.queries(), "pipeline": corpus_pipeline.run})
+
+
+def log_queries() -> dict[str, Query]:
     return {
         "topic_scan_keyed": _topic_scan_keyed,
         "topic_scan_lines": _topic_scan_lines,
@@ -298,6 +311,10 @@ counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return log_sql() | ({} if corpus is None else corpus.oracle_sql())
+
+
+def log_sql() -> dict[str, str]:
     def on_topics(body: str) -> str:
         return f"WITH {_TOPICS} {body}"
 

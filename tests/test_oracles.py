@@ -25,13 +25,13 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.log_queries()) == set(registered.log_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registered.log_queries()))
 def test_query_equals_sql(spark, duck, name):
-    result = registered.queries()[name](spark, FOLDER)
-    expected = duck.execute(registered.oracle_sql()[name])
+    result = registered.log_queries()[name](spark, FOLDER)
+    expected = duck.execute(registered.log_sql()[name])
     columns = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(columns)
     assert _sorted_rows(result.columns, result.collect()) == _sorted_rows(columns, expected.fetchall())
