@@ -39,6 +39,7 @@ SHARPNESS = 1.0
 BYTE_RANK = 50_000
 BLANK = "▁"
 LEAST_WEIGHT = 1e-100
+SHORT = 40
 SOME_WORDS = 1 << 14
 MOST_CHARACTERS = 32
 """No piece is longer."""
@@ -78,9 +79,28 @@ class Vocabulary:
                 rank += 1
                 self.bytes_of.append(shown.replace(BLANK, " ").encode())
         self.byte_weight = BYTE_RANK**-self.sharpness
+        self._arrays()
         self._ready = True
         return self
 
+    def _arrays(self) -> None:
+        """The trie of the pieces as sorted steps (state and character) to states, and what needs no chain of bytes."""
+        numbers = {"": 0} | {beginning: number for number, beginning in enumerate(self.known, 1)}
+        steps = sorted(((numbers[shown[:-1]] << 21) | ord(shown[-1]), number) for shown, number in numbers.items() if shown)
+        self.steps, self.to = np.array(steps, np.int64).T.copy()
+        self.piece_at, self.weight_at = np.full(len(numbers), -1, np.int64), np.zeros(len(numbers))
+        self.plain = np.zeros(1 << 16, bool)
+        self.plain[:128] = True
+        self.lone = np.ones(128, bool)
+        for shown, found in self.known.items():
+            if found:
+                self.piece_at[numbers[shown]], self.weight_at[numbers[shown]] = found
+                if len(shown) == 1 and ord(shown) < len(self.plain) - 1:
+                    self.plain[ord(shown)] = True
+                    if ord(shown) < 128:
+                        self.lone[ord(shown)] = False
+        self.plain[ord(BLANK)] = False
+
     def filtered(self, word: str, counts: list[int], edges: list[float]) -> None:
         """Append the lattice of a word without blanks, behind a blank: for each node, how many edges lead to it, and of
         each edge the node before, the piece and the weight of all ways that end with it.
@@ -180,24 +200,78 @@ def encoded(vocabulary: Vocabulary, keys: np.ndarray, texts: pa.Array, seed: int
 
 def _lattices(vocabulary: Vocabulary, words: list[str]) -> tuple[np.ndarray, ...]:
     """The lattices of all words: edges per node; node before, piece and weight per edge; nodes up to each word's end."""
-    parts, stops, nodes_before = [], [], 0
+    parts, stops, nodes = [], np.zeros(len(words), np.int64), 0
     for start in range(0, len(words), SOME_WORDS):
-        degrees: list[int] = []
-        flat: list[float] = []
-        own = []
-        for word in words[start : start + SOME_WORDS]:
-            vocabulary.filtered(word, degrees, flat)
-            own.append(len(degrees))
-        counts, own = np.array(degrees, np.int32), np.array(own, np.int64)
-        table = np.array(flat, np.float64).reshape(-1, 3)
-        nodes = np.diff(own, prepend=0)
-        base = np.repeat(np.repeat(own - nodes, nodes), counts) + nodes_before
-        parts.append((counts, (table[:, 0] + base).astype(np.int32), table[:, 1].astype(np.uint32), table[:, 2].copy()))
-        stops.append(own + nodes_before)
-        nodes_before += len(counts)
+        some = words[start : start + SOME_WORDS]
+        joined = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)
+        lengths = np.fromiter(map(len, some), np.int64, len(some))
+        odd = np.zeros(len(some), bool)
+        odd[np.repeat(np.arange(len(some)), lengths)[~vocabulary.plain[np.minimum(joined, len(vocabulary.plain) - 1)]]] = True
+        odd |= lengths >= SHORT
+        for chosen, build in ((np.flatnonzero(~odd), _together), (np.flatnonzero(odd), _one_by_one)):
+            if len(chosen):
+                counts, before, pieces, weights, ends = build(vocabulary, [some[at] for at in chosen])
+                parts.append((counts, (before + nodes).astype(np.int32), pieces, weights))
+                stops[start + chosen] = ends + nodes
+                nodes += len(counts)
     if not parts:
         return tuple(np.zeros(0, kind) for kind in (np.int32, np.int32, np.uint32, np.float64, np.int64))
-    return *[np.concatenate(columns) for columns in zip(*parts)], np.concatenate(stops)
+    return *[np.concatenate(columns) for columns in zip(*parts)], stops
+
+
+def _one_by_one(vocabulary: Vocabulary, words: list[str]) -> tuple[np.ndarray, ...]:
+    degrees: list[int] = []
+    flat: list[float] = []
+    ends = []
+    for word in words:
+        vocabulary.filtered(word, degrees, flat)
+        ends.append(len(degrees))
+    counts, ends = np.array(degrees, np.int32), np.array(ends, np.int64)
+    table = np.array(flat, np.float64).reshape(-1, 3)
+    nodes = np.diff(ends, prepend=0)
+    base = np.repeat(np.repeat(ends - nodes, nodes), counts)
+    return counts, table[:, 0].astype(np.int64) + base, table[:, 1].astype(np.uint32), table[:, 2].copy(), ends
+
+
+def _together(vocabulary: Vocabulary, words: list[str]) -> tuple[np.ndarray, ...]:
+    """The same for short words whose characters need no chain of bytes: all walk down the pieces' trie at once."""
+    marks = np.frombuffer((BLANK + BLANK.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    word = np.repeat(np.arange(len(words)), lengths)
+    end = np.cumsum(lengths)[word]
+    at, state, depth = np.arange(len(marks)), np.zeros(len(marks), np.int64), 0
+    found = []
+    # A single byte stands for a character without a piece of its own.
+    lone = np.flatnonzero(vocabulary.lone[np.minimum(marks, 127)] & (marks < 128))
+    octets = np.array(vocabulary.octets, np.int64)
+    found.append((lone, np.ones(len(lone), np.int64), octets[marks[lone]], np.full(len(lone), vocabulary.byte_weight)))
+    while len(at):
+        step = (state << 21) | marks[at + depth]
+        place = np.minimum(np.searchsorted(vocabulary.steps, step), len(vocabulary.steps) - 1)
+        known = vocabulary.steps[place] == step
+        at, state = at[known], vocabulary.to[place[known]]
+        depth += 1
+        piece = vocabulary.piece_at[state]
+        whole = piece >= 0
+        found.append((at[whole], np.full(whole.sum(), depth), piece[whole], vocabulary.weight_at[state[whole]]))
+        going = at + depth < end[at]
+        at, state = at[going], state[going]
+    source, size, piece, weight = (np.concatenate(columns) for columns in zip(*found))
+    # Each word has a node more than characters.
+    before, after = source + word[source], source + size + word[source]
+    order = np.argsort(after * 64 - size, kind="stable")
+    before, after, piece, weight = before[order], after[order], piece[order], weight[order]
+    nodes = len(marks) + len(words)
+    first = np.cumsum(lengths + 1) - lengths - 1
+    ways = np.zeros(nodes)
+    ways[first] = 1.0
+    height = after - np.repeat(first, lengths + 1)[after]
+    by_height = np.argsort(height, kind="stable")
+    for edges in np.split(by_height, np.flatnonzero(np.diff(height[by_height])) + 1):
+        weight[edges] *= ways[before[edges]]
+        np.add.at(ways, after[edges], weight[edges])
+    counts = np.bincount(after, minlength=nodes).astype(np.int32)
+    return counts, before, piece.astype(np.uint32), weight, first + lengths + 1
 
 
 def _shares(weights: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> np.ndarray:
