@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from logbrook.session import work_dir
 
-CHUNK = 24 << 20
+CHUNK = 4 << 20
 
 
 def filled(texts: pa.Array) -> pa.Array:
@@ -51,6 +51,7 @@ def map_texts(
         for batch in batches:
             for piece in pieces(batch, text):
                 yield function(piece)
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
