@@ -86,7 +86,7 @@ def members(file) -> Iterator[bytes]:
 
 def _files(folder: str, ending: str) -> list[str]:
     system, base = fs.FileSystem.from_uri(folder)
-    found = system.get_file_info(fs.FileSelector(base))
+    found = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
     return sorted(info.base_name for info in found if info.base_name.endswith(ending))
 
 

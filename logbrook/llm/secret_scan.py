@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from logbrook.llm.automaton import compiled
 from logbrook.llm.batches import filled, map_texts
@@ -53,6 +53,7 @@ MASK = "[secret]"
 SCHEMA = (
     "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_spans bigint"
 )
+NAMES = [column.split()[0] for column in SCHEMA.split(", ")]
 
 
 class Scanner:
@@ -146,9 +147,9 @@ def found(
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [_row(scanner, value) for value in filled(batch.column(1)).to_pylist()]
         columns = [pa.array(column) for column in zip(*rows)]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], T.StructType.fromDDL(SCHEMA).names)
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], NAMES)
 
-    return map_texts(documents.select(key, text), scan, SCHEMA, text)
+    return map_texts(documents.select(F.col(key).cast("bigint").alias("doc_id"), text), scan, SCHEMA, text)
 
 
 def _row(scanner: Scanner, text: str) -> tuple:
