@@ -1,7 +1,8 @@
 """Token ids in binary shards with constant-time access by key.
 
 A shard is two files. ``.ids`` holds the ids of its documents one after the
-other, as raw little-endian unsigned 32-bit numbers. ``.idx`` holds, behind a
+other, as raw little-endian unsigned numbers, of 16 bits if all ids of the vocabulary have
+room in them, else of 32. ``.idx`` holds, behind a
 line of JSON that names them, arrays: where each document begins, the keys, and
 a minimal perfect hash whose number leads to the key's stored fingerprint and
 its first row. Shards follow one another in ascending key order; the table
@@ -48,6 +49,7 @@ def write(
 ) -> str:
     """Encode the documents into shards in ``folder``, in ascending key order."""
     encoder = Encoder(tokenizer or tokenizer_path())
+    kind = "<u2" if max(encoder.size() - 1, end_id) < 1 << 16 else "<u4"
     spark = documents.sparkSession
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     dealt = rows.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").select("key", "text")
@@ -64,7 +66,7 @@ def write(
                 for piece in pieces(batch, "text"):
                     ids, ends = encoder.encode(piece.column(1))
                     counts = np.diff(ends, prepend=0) + 1
-                    whole = np.insert(ids, ends, np.uint32(end_id)).astype("<u4")
+                    whole = np.insert(ids, ends, np.uint32(end_id)).astype(kind)
                     out.write(whole.tobytes())
                     sizes.append(counts)
                     known.append(piece.column(0).is_valid().to_numpy(zero_copy_only=False))
@@ -75,7 +77,7 @@ def write(
         keys, known, sizes = map(np.concatenate, (keys, known, sizes))
         system.move(draft, f"{name}.ids")
         with system.open_output_stream(f"{draft}x") as out:
-            out.write(_to_bytes(_index(keys, known, sizes)))
+            out.write(_to_bytes(_index(keys, known, sizes, np.zeros(0, kind))))
         system.move(f"{draft}x", f"{name}.idx")
         bounds = keys[known]
         yield pa.RecordBatch.from_pylist(
@@ -149,6 +151,7 @@ class Shard:
         self.path = f"{base}/shard-{number:06d}"
         with self.system.open_input_stream(f"{self.path}.idx") as file:
             self.index = _from_bytes(file.read())
+        self.kind = self.index["ids"].dtype
         self.file = self.system.open_input_file(f"{self.path}.ids")
 
     def rows_of(self, key: int) -> range:
@@ -167,8 +170,12 @@ class Shard:
         return self.index["first_row"][slot], np.where(known, self.index["n_rows"][slot], 0)
 
     def row_ids(self, row: int) -> np.ndarray:
-        start, end = self.index["starts"][row : row + 2].tolist()
-        return np.frombuffer(self.file.read_at(4 * (end - start), 4 * start), "<u4")
+        return self.ids(*self.index["starts"][row : row + 2].tolist())
+
+    def ids(self, start: int, end: int) -> np.ndarray:
+        """Some of the shard's ids, as unsigned 32-bit numbers."""
+        width = self.kind.itemsize
+        return np.frombuffer(self.file.read_at(width * (end - start), width * start), self.kind).astype("<u4")
 
 
 def _documents(shard: Shard, before: int, with_ids: bool) -> pa.RecordBatch:
@@ -179,22 +186,22 @@ def _documents(shard: Shard, before: int, with_ids: bool) -> pa.RecordBatch:
     looked_up = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
     rows = np.concatenate([np.flatnonzero(~known), looked_up]).astype(np.int64)
     own = np.concatenate([np.zeros((~known).sum(), np.int64), np.repeat(distinct, count)])
-    data = memoryview(shard.file.read_at(4 * int(starts[-1]), 0))
+    ids = shard.ids(0, int(starts[-1]))
     spans = list(zip(starts[rows].tolist(), starts[rows + 1].tolist()))
     columns = [
         pa.array(own, mask=~known[rows]),
         pa.array(starts[rows] + before),
         pa.array(starts[rows + 1] - starts[rows]),
-        pa.array([zlib.crc32(data[4 * start : 4 * end]) for start, end in spans], pa.int64()),
+        pa.array([zlib.crc32(ids[start:end]) for start, end in spans], pa.int64()),
     ]
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
     if with_ids:
-        columns.append(pa.array([np.frombuffer(data[4 * s : 4 * e], "<i4") for s, e in spans], pa.list_(pa.int32())))
+        columns.append(pa.array([ids[s:e].view(np.int32) for s, e in spans], pa.list_(pa.int32())))
         names.append("ids")
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def _index(keys: np.ndarray, known: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
+def _index(keys: np.ndarray, known: np.ndarray, sizes: np.ndarray, kind: np.ndarray) -> dict[str, np.ndarray]:
     rows = np.flatnonzero(known)
     distinct, at, times = np.unique(keys[rows], return_index=True, return_counts=True)
     hashed = distinct.astype(np.int64).view(np.uint64)
@@ -202,7 +209,7 @@ def _index(keys: np.ndarray, known: np.ndarray, sizes: np.ndarray) -> dict[str,
     place = perfect_hash.number(index, hashed)
     prints, first_row, n_rows = np.zeros(len(distinct), np.uint32), *np.zeros((2, len(distinct)), np.int64)
     prints[place], first_row[place], n_rows[place] = perfect_hash.fingerprint(hashed), rows[at], times
-    own = {"starts": np.append(0, np.cumsum(sizes)), "keys": keys.astype(np.int64), "known": known}
+    own = {"starts": np.append(0, np.cumsum(sizes)), "keys": keys.astype(np.int64), "known": known, "ids": kind}
     return index | own | {"prints": prints, "first_row": first_row, "n_rows": n_rows}
 
 

@@ -62,6 +62,12 @@ class Encoder:
         self._words: dict[str, tuple[int, ...]] = {}
         self._ready = True
 
+    def size(self) -> int:
+        """How many ids the vocabulary has."""
+        if not self._ready:
+            self._load()
+        return self._whole.get_vocab_size()
+
     def _word(self, word: str) -> tuple[int, ...]:
         stem = word.rstrip(STOPS)
         low = stem.lower()
