@@ -26,6 +26,9 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+# Blocks of 1,024 offsets, so that the test tables have many.
+SMALL_BLOCKS = 10
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -41,8 +44,13 @@ def _topics(spark: SparkSession, folder: str) -> DataFrame:
     return operators.merge(fixtures.moves(spark, folder), fixtures.capacities(spark, folder))
 
 
-def _on_lines(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: plan(fixtures.text_lines(spark, folder))
+def _on_lines(plan: Callable[..., DataFrame]) -> Query:
+    """A plan on the documents; one file of one row group is dealt out to the session's partitions first."""
+    return lambda spark, folder: plan(fixtures.text_lines(spark, folder), partitions=_partitions(spark))
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _on_moves(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -84,19 +92,32 @@ def _sink_string_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_topic(spark, out)
 
 
+def _word_count_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts written as words and eight bytes each, and read back."""
+    wire = _on_lines(word_count.word_count_wire)(spark, folder)
+    return sources.read_topic(spark, sources.write_topic(wire, work_dir(spark, "word-counts")))
+
+
 def _word_count_wire(spark: SparkSession, folder: str) -> DataFrame:
-    wire = word_count.word_count_wire(fixtures.text_lines(spark, folder))
-    return wire.select("key", F.lower(F.hex("value")).alias("value_hex"))
+    return _word_count_topic(spark, folder).select("key", F.lower(F.hex("value")).alias("value_hex"))
 
 
 def _replay_print_string(spark: SparkSession, folder: str) -> DataFrame:
     line = sources.printed(F.col("key"), F.col("value"))
-    return _room_messages(spark, folder).select("seq", "sub", line.alias("line"))
+    return _sink_string_roundtrip(spark, folder).select("seq", "sub", line.alias("line"))
 
 
 def _replay_print_long(spark: SparkSession, folder: str) -> DataFrame:
-    wire = word_count.word_count_wire(fixtures.text_lines(spark, folder))
-    return wire.select(sources.printed(F.col("key"), functions.long_from_wire(F.col("value"))).alias("line"))
+    topic = _word_count_topic(spark, folder)
+    return topic.select(sources.printed(F.col("key"), functions.long_from_wire(F.col("value"))).alias("line"))
+
+
+def _capacity_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Settings whose texts have blanks, signs, decimals or too many digits, or are empty."""
+    settings = fixtures.capacities(spark, folder)
+    forms = ["' ' || value", "value || '.0'", "'+' || value", "value || '99999999999999999999'", "''", "'-' || value", "value"]
+    form = F.element_at(F.array(*map(F.expr, forms)), (F.col("seq") % len(forms) + 1).cast("int"))
+    return rooms.capacity_rejects(settings.withColumn("value", form)).select("seq", "key", "value")
 
 
 # --- streams -----------------------------------------------------------------------------
@@ -166,9 +187,9 @@ def _run_twice(name: str, run: Query, spark: SparkSession, folder: str) -> DataF
 def _file_lines_copy(spark: SparkSession, folder: str) -> DataFrame:
     out = work_dir(spark, "lines")
     _text_lines(spark, folder).select("line").write.option("lineSep", "\n").text(f"{out}/source")
-    lines = sources.stream_lines(spark, f"{out}/source")
+    lines = sources.stream_lines(spark, f"{out}/source", verbatim=True)
     streaming.copy_lines(lines, f"{out}/copy", f"{out}/state", streaming.TO_END).awaitTermination()
-    return sources.read_lines(spark, f"{out}/copy").select(F.col("value").alias("line"))
+    return sources.read_lines(spark, f"{out}/copy", verbatim=True).select(F.col("value").alias("line"))
 
 
 def _json_envelope(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,6 +248,7 @@ def log_queries() -> dict[str, Query]:
         "word_count_changelog": _on_lines(word_count.word_count_changelog),
         "word_count_stream": _word_count_stream,
         "capacity_latest": lambda spark, folder: rooms.capacity_latest(fixtures.capacities(spark, folder)),
+        "capacity_rejects": _capacity_rejects,
         "student_latest_room": _on_moves(rooms.student_latest_room),
         "room_deltas": _on_moves(rooms.room_deltas),
         "room_occupancy": _on_moves(rooms.room_occupancy),
@@ -242,6 +264,7 @@ def log_queries() -> dict[str, Query]:
         "room_change_with_previous": _on_rooms(rooms.room_change_with_previous),
         "room_status_labelled": _on_rooms(rooms.room_status_labelled),
         "overflow_alerts": _on_rooms(rooms.overflow_alerts),
+        "overflow_alerts_blocks": _on_rooms(lambda moves, sizes: rooms.overflow_alerts(moves, sizes, bits=SMALL_BLOCKS)),
         "overflow_alerts_stream": _overflow_alerts_stream,
         "replay_equivalence": _replay_equivalence,
         "file_lines_copy": _file_lines_copy,
@@ -349,6 +372,14 @@ def log_sql() -> dict[str, str]:
         ),
         "word_count_stream": word_counts,
         "capacity_latest": on_rooms("SELECT room, size FROM capacity"),
+        "capacity_rejects": on_topics(
+            """, texts AS (
+              SELECT seq, key, CASE seq % 7 WHEN 0 THEN ' ' || value WHEN 1 THEN value || '.0' WHEN 2 THEN '+' || value
+                WHEN 3 THEN value || '99999999999999999999' WHEN 4 THEN '' WHEN 5 THEN '-' || value ELSE value END AS value
+              FROM capacities)
+            SELECT seq, key, value FROM texts
+            WHERE NOT regexp_full_match(value, '[+-]?[0-9]+') OR length(ltrim(value, '+-')) > 19"""
+        ),
         "student_latest_room": on_rooms("SELECT student, max_by(room, seq) AS room FROM st GROUP BY student"),
         "room_deltas": on_rooms("SELECT seq, sub, room, delta FROM d"),
         "room_occupancy": occupancy,
@@ -371,6 +402,7 @@ def log_sql() -> dict[str, str]:
         ),
         "room_status_labelled": on_rooms("SELECT seq, sub, room, status FROM labelled"),
         "overflow_alerts": alerts,
+        "overflow_alerts_blocks": alerts,
         "overflow_alerts_stream": alerts,
         "replay_equivalence": f"""WITH {_ROOMS}, {_WORDS},
             runs AS (

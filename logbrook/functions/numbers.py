@@ -8,13 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_long(text: Column) -> Column:
-    """The bigint a decimal text stands for, or null where it is not one.
+def parse_long(text: Column, strict: bool = False) -> Column:
+    """The bigint a decimal text stands for, or null where it is not one; if ``strict``, such a text fails the query.
 
     Only an optional sign and digits count, with no blanks around them; the
     cast alone would trim. Values beyond 64 bits are null too.
     """
-    return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
+    number = F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
+    if not strict:
+        return number
+    failed = F.raise_error(F.concat(F.lit("not a 64-bit number: "), text)).cast("bigint")
+    return F.when(text.isNull() | number.isNotNull(), number).otherwise(failed)
 
 
 def wrapping_minus(count: Column, number: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logbrook.operators.running import BLOCK_BITS, running_state
@@ -49,10 +49,10 @@ def _half(sub: int, group: str, delta: int) -> Column:
 def regrouped_counts(records: DataFrame, key: str = "key", group: str = "value", order: str = "seq") -> DataFrame:
     """How many keys each group holds now; groups all keys have left stay, with 0.
 
-    The final count needs no history of moves: it is the number of keys whose
-    latest group this is, over all groups ever seen. Both parts combine before
-    their shuffle, so no task sees more of a hot key than one row per partition.
+    One small row per (key, group), its last place in the order, is all that is
+    needed of the log, so the log is read once and combined before the shuffle.
+    A key has as many of these as it has met groups.
     """
-    held = latest_per_key(records, key, group, order).select(group, F.lit(1).cast("bigint").alias("n"))
-    seen = complete(records, key, group).select(group).distinct().withColumn("n", F.lit(0).cast("bigint"))
-    return merge(held, seen).groupBy(group).agg(F.sum("n").alias("n"))
+    last = complete(records, key, group).groupBy(key, group).agg(F.max(order).alias("at"))
+    newest = F.max("at").over(Window.partitionBy(key))
+    return last.withColumn("held", F.col("at") == newest).groupBy(group).agg(F.count_if("held").alias("n"))

@@ -24,9 +24,10 @@ def student_latest_room(moves: DataFrame) -> DataFrame:
     return latest_per_key(moves).select(F.col("key").alias("student"), F.col("value").alias("room"))
 
 
-def capacity_settings(capacities: DataFrame) -> DataFrame:
-    """The valid settings: ``seq, room, size``. Other text never reaches the table."""
-    return capacities.select("seq", F.col("key").alias("room"), parse_long(F.col("value")).alias("size")).where(
+def capacity_settings(capacities: DataFrame, strict: bool = False) -> DataFrame:
+    """The valid settings: ``seq, room, size``. Other text never reaches the table; if ``strict``, it fails the query."""
+    size = parse_long(F.col("value"), strict).alias("size")
+    return capacities.select("seq", F.col("key").alias("room"), size).where(
         "room IS NOT NULL AND size IS NOT NULL"
     )
 

@@ -13,27 +13,29 @@ LINE_BLOCK_BITS = 12
 """Lines hold many words each, so their blocks span fewer offsets."""
 
 
-def word_tokens(lines: DataFrame) -> DataFrame:
-    """``seq, pos, word``."""
-    return word_records(spread(lines.select("seq", "value"), "seq"), "seq")
+def word_tokens(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``seq, pos, word``. With ``partitions``, the lines are dealt out to so many tasks first."""
+    return word_records(spread(lines.select("seq", "value"), partitions, "seq"), "seq")
 
 
-def word_rekey(lines: DataFrame) -> DataFrame:
+def word_rekey(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     """The words as records keyed by themselves."""
-    return rekeyed(word_tokens(lines), "seq", "pos")
+    return rekeyed(word_tokens(lines, partitions), "seq", "pos")
 
 
-def word_count(lines: DataFrame) -> DataFrame:
+def word_count(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     """``word, n``."""
-    return word_counts(spread(lines.select("value")))
+    return word_counts(spread(lines.select("value"), partitions))
 
 
-def word_count_wire(lines: DataFrame) -> DataFrame:
+def word_count_wire(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     """The counts as the output topic holds them: word, and eight bytes."""
-    return word_count(lines).select(F.col("word").alias("key"), long_to_wire(F.col("n")).alias("value"))
+    return word_count(lines, partitions).select(F.col("word").alias("key"), long_to_wire(F.col("n")).alias("value"))
 
 
-def word_count_changelog(lines: DataFrame, bits: int = LINE_BLOCK_BITS) -> DataFrame:
+def word_count_changelog(
+    lines: DataFrame, bits: int = LINE_BLOCK_BITS, partitions: int | None = None
+) -> DataFrame:
     """The count of a word after each of its occurrences: ``seq, pos, word, n``."""
-    counted = running_state(word_tokens(lines), "word", ["seq", "pos"], sums={"n": F.lit(1)}, bits=bits)
+    counted = running_state(word_tokens(lines, partitions), "word", ["seq", "pos"], sums={"n": F.lit(1)}, bits=bits)
     return counted.select("seq", "pos", "word", "n")

@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from logbrook.sources.topics import FILE_LIMIT
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+# For true copies: a carriage return belongs to its line. Otherwise it ends one, alone or before a line feed.
+VERBATIM = {"lineSep": "\n"}
+
+
+def read_lines(spark: SparkSession, path: str, verbatim: bool = False) -> DataFrame:
     """Plain text lines as records without a key."""
-    return _keyless(spark.read.option("lineSep", "\n").text(path))
+    return _keyless(spark.read.options(**(VERBATIM if verbatim else {})).text(path))
 
 
-def stream_lines(spark: SparkSession, path: str, limit: dict | None = None) -> DataFrame:
+def stream_lines(spark: SparkSession, path: str, limit: dict | None = None, verbatim: bool = False) -> DataFrame:
     """The same, following a folder; ``limit`` is the option that bounds a micro-batch."""
-    return _keyless(spark.readStream.option("lineSep", "\n").options(**(limit or FILE_LIMIT)).text(path))
+    options = (VERBATIM if verbatim else {}) | (limit or FILE_LIMIT)
+    return _keyless(spark.readStream.options(**options).text(path))
 
 
 def _keyless(lines: DataFrame) -> DataFrame:

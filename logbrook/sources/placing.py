@@ -4,18 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SMALL_SPLIT = 32 << 20
 
-
-def spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Deal a small input out to all cores before expensive per-row work.
+def spread(rows: DataFrame, partitions: int | None, *by: str) -> DataFrame:
+    """Deal rows out to more tasks before expensive per-row work, on ``by`` or in turn; None leaves them as they are.
 
     A table of a few row groups is read by a few tasks, however many cores
-    wait. Such an input, judged by its planned size, is shuffled once, on ``by`` or
-    in turn.
-    An input with at least ``SMALL_SPLIT`` bytes per core fills the cluster by
-    itself and is left as it is, so large tables never pay for this.
+    wait. Only the caller knows whether that is so and worth a shuffle.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return rows.repartition(cores, *by) if size < cores * SMALL_SPLIT else rows
+    return rows if partitions is None else rows.repartition(partitions, *by)

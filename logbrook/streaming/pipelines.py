@@ -28,7 +28,6 @@ cloudpickle.register_pickle_by_value(processors)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = "spark.sql.streaming.stateStore.providerClass"
-PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Fixed value: how often counts are passed on, unless another trigger is given.
 COMMIT_EVERY = "100 milliseconds"
@@ -44,20 +43,14 @@ BUCKETS = 1024
 def _stateful(spark: SparkSession) -> Iterator[None]:
     """Settings a stateful query takes over when it starts.
 
-    State is kept in RocksDB, in as many partitions as the session shuffles
-    into; on a single machine, in no more than it has cores.
+    State is kept in RocksDB, in as many partitions as the session shuffles into.
     """
-    wanted = {STORE: ROCKSDB, PARTITIONS: spark.conf.get(PARTITIONS)}
-    if spark.sparkContext.master.startswith("local"):
-        wanted[PARTITIONS] = str(min(int(wanted[PARTITIONS]), spark.sparkContext.defaultParallelism))
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKSDB)
     try:
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
