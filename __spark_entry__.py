@@ -159,6 +159,21 @@ def _overflow_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _log(streaming.running_alerts(moves, capacities), "alerts")
 
 
+def _overflow_alerts_two_topics_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Both topics written as folders of unequally many files, then followed a file at a time."""
+    logs = [read(spark, folder).select("seq", "key", "value") for read in (fixtures.moves, fixtures.capacities)]
+    end = 1 + (operators.merge(*logs).agg(F.max("seq")).first()[0] or 0)
+    out = work_dir(spark, "two-topics")
+    streams = []
+    for name, log, files in zip(("student", "classroom"), logs, (3, 1)):
+        for piece in range(files):
+            inside = F.col("seq").between(end * piece // files, end * (piece + 1) // files - 1)
+            sources.write_topic(log.where(inside), f"{out}/{name}")
+        sources.close_topic(spark, f"{out}/{name}", end)
+        streams.append(sources.stream_topic(spark, f"{out}/{name}", log.schema, {"maxFilesPerTrigger": 1}))
+    return _log(streaming.running_alerts_aligned(*streams), "alerts-two-topics")
+
+
 def _replay_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     """Every pipeline run twice, each time from nothing, and compared."""
     pipelines = {
@@ -266,6 +281,7 @@ def log_queries() -> dict[str, Query]:
         "overflow_alerts": _on_rooms(rooms.overflow_alerts),
         "overflow_alerts_blocks": _on_rooms(lambda moves, sizes: rooms.overflow_alerts(moves, sizes, bits=SMALL_BLOCKS)),
         "overflow_alerts_stream": _overflow_alerts_stream,
+        "overflow_alerts_two_topics_stream": _overflow_alerts_two_topics_stream,
         "replay_equivalence": _replay_equivalence,
         "file_lines_copy": _file_lines_copy,
         "json_envelope": _json_envelope,
@@ -404,6 +420,7 @@ def log_sql() -> dict[str, str]:
         "overflow_alerts": alerts,
         "overflow_alerts_blocks": alerts,
         "overflow_alerts_stream": alerts,
+        "overflow_alerts_two_topics_stream": alerts,
         "replay_equivalence": f"""WITH {_ROOMS}, {_WORDS},
             runs AS (
               SELECT 'word_count' AS pipeline, count(*) AS n FROM counts

@@ -3,6 +3,7 @@
 from logbrook.sources.lines import parse_keyed_lines, printed, read_lines, stream_lines
 from logbrook.sources.placing import spread
 from logbrook.sources.topics import (
+    close_topic,
     from_broker,
     read_broker,
     read_topic,
@@ -14,6 +15,7 @@ from logbrook.sources.topics import (
 )
 
 __all__ = [
+    "close_topic",
     "from_broker",
     "parse_keyed_lines",
     "printed",

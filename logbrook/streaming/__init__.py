@@ -5,6 +5,7 @@ from logbrook.streaming.pipelines import (
     copy_lines,
     latest_changes,
     running_alerts,
+    running_alerts_aligned,
     running_occupancy,
     running_occupancy_changelog,
     running_word_counts,
@@ -18,6 +19,7 @@ __all__ = [
     "copy_lines",
     "latest_changes",
     "running_alerts",
+    "running_alerts_aligned",
     "running_occupancy",
     "running_occupancy_changelog",
     "running_word_counts",

@@ -12,16 +12,26 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from logbrook.functions import parse_long
 from logbrook.operators import merge, word_counts
 from logbrook.operators.grouping import complete
 from logbrook.plans.rooms import alert, matched, room_log
 from logbrook.sources import to_broker
 from logbrook.streaming import processors
-from logbrook.streaming.processors import MOVES_SCHEMA, ROOMS_SCHEMA, Moves, Rooms
+from logbrook.streaming.processors import (
+    ALIGNED_MOVES_SCHEMA,
+    MOVES_SCHEMA,
+    ROOMS_SCHEMA,
+    AlignedMoves,
+    AlignedRooms,
+    Moves,
+    Rooms,
+    place,
+)
 
 # Executors get the processors themselves, so that the package need not be installed there.
 cloudpickle.register_pickle_by_value(processors)
@@ -131,10 +141,44 @@ def running_occupancy_changelog(moves: DataFrame, buckets: int = BUCKETS) -> Dat
 
 
 def running_alerts(moves: DataFrame, capacities: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``seq, sub, room, status``: the overflow messages."""
+    """``seq, sub, room, status``: the overflow messages of topics that arrive together, as parts of one log."""
     return alert(matched(_rooms(room_log(_moves(moves, buckets), capacities), buckets)))
 
 
+def running_alerts_aligned(moves: DataFrame, capacities: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The same for two topics that arrive independently, each in order of ``seq``.
+
+    A row is applied once both topics have passed its ``seq``, whatever the
+    micro-batches, so the messages are those of the batch. Messages up to the
+    place both have reached are out; to get the last ones of logs that end, close
+    both topics (``sources.close_topic``).
+    """
+    moves, capacities = _placed(moves), _placed(capacities)
+    entered = moves.where(_or_none("key IS NOT NULL AND value IS NOT NULL"))
+    entered = entered.select("seq", "at", F.col("key").alias("student"), F.col("value").alias("room"))
+    deltas = _bucketed(entered, "student", buckets).transformWithStateInPandas(
+        AlignedMoves(), ALIGNED_MOVES_SCHEMA, "append", "eventTime", eventTimeColumnName="at"
+    )
+    changes = deltas.select("seq", "at", "sub", "room", F.lit(True).alias("moved"), F.col("delta").alias("amount"))
+    size = parse_long(F.col("value")).alias("amount")
+    settings = capacities.select(
+        "seq", "at", F.lit(0).alias("sub"), F.col("key").alias("room"), F.lit(False).alias("moved"), size
+    ).where(_or_none("room IS NOT NULL AND amount IS NOT NULL"))
+    log = _bucketed(merge(changes, settings), "room", buckets)
+    return alert(matched(log.transformWithStateInPandas(AlignedRooms(), ROOMS_SCHEMA, "append", "eventTime")))
+
+
+def _placed(records: DataFrame) -> DataFrame:
+    """Records with an offset, and a watermark on it."""
+    at = F.timestamp_millis(place(F.col("seq")))
+    return records.where("seq IS NOT NULL").withColumn("at", at).withWatermark("at", "0 seconds")
+
+
+def _or_none(condition: str) -> Column:
+    """The condition, in a form that is not pushed below the watermark, which has to see all records."""
+    return F.expr(condition) | (F.col("at") < F.timestamp_millis(F.lit(0)))
+
+
 def _bucketed(rows: DataFrame, key: str, buckets: int) -> GroupedData:
     return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).groupBy("bucket")
 

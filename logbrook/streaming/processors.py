@@ -16,9 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 MOVES_SCHEMA = "seq bigint, sub int, room string, delta bigint"
+ALIGNED_MOVES_SCHEMA = f"{MOVES_SCHEMA}, at timestamp"
 ROOMS_SCHEMA = (
     "seq bigint, sub int, room string, occupants bigint, size bigint, prev_occupants bigint, prev_size bigint"
 )
@@ -98,6 +100,14 @@ class Moves(StatefulProcessor):
         pass
 
 
+class AlignedMoves(Moves):
+    """The same with each row's place in the order as an event time, for a watermark to go on."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in super().handleInputRows(key, rows, timerValues):
+            yield frame.assign(at=pd.to_datetime(place(frame["seq"]), unit="ms", utc=True))
+
+
 class Rooms(StatefulProcessor):
     """Occupants and size of each room, null while unknown, after and before every change.
 
@@ -152,6 +162,78 @@ class Rooms(StatefulProcessor):
         pass
 
 
+class AlignedRooms(Rooms):
+    """The same for rows of two topics, each in order, that need not arrive together.
+
+    Rows wait in the state until the watermark, the place both topics have
+    reached, has passed them, and are then applied in order. New rows always lie
+    beyond the watermark. A bucket has one timer, set to its first waiting row.
+    What waits is bounded by how far one topic is ahead of the other.
+    """
+
+    COLUMNS = ["room", "seq", "sub", "moved", "amount"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.first = handle.getValueState("first", "place bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for chunk in rows:
+            self.waiting.appendValue((_packed(chunk[self.COLUMNS]),))
+            lowest = int(place(chunk["seq"]).min())
+            first = lowest if first is None else min(first, lowest)
+        if first is not None:
+            self._wake_at(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.first.clear()
+        reached = timerValues.getCurrentWatermarkInMs()
+        ready, early = [], []
+        for (data,) in self.waiting.get():
+            chunk = _unpacked(data)
+            passed = place(chunk["seq"]) <= reached
+            ready.append(chunk[passed])
+            early.append(chunk[~passed])
+        early = [chunk for chunk in early if len(chunk)]
+        self.waiting.clear()
+        if early:
+            self.waiting.put([(_packed(chunk),) for chunk in early])
+            self._wake_at(min(int(place(chunk["seq"]).min()) for chunk in early))
+        ready = [chunk for chunk in ready if len(chunk)]
+        if ready:
+            yield from super().handleInputRows(key, iter(ready), timerValues)
+
+    def _wake_at(self, first: int) -> None:
+        old = self.first.get()
+        if old is not None and old[0] <= first:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old[0])
+        self.first.update((first,))
+        self.handle.registerTimer(first)
+
+
+def place(seq):
+    """An offset as an event time in milliseconds. The watermark begins at 0, which must lie before the first row."""
+    return seq + 1
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
 def _filled(values: tuple[int | None, ...]) -> np.ndarray:
     return np.array([value or 0 for value in values], dtype=np.int64)
 

@@ -90,6 +90,38 @@ def test_events_in_pieces_with_a_restart(spark, tmp_path):
     assert rows(sources.read_topic(spark, replay)) == expected
 
 
+@pytest.mark.parametrize("pieces", [(4, 1), (1, 5), (3, 3)])
+def test_two_topics_that_arrive_apart(spark, tmp_path, pieces):
+    """Folders of unequal file counts, one file at a time, against the batch."""
+    inputs = fixtures.moves(spark, FOLDER), fixtures.capacities(spark, FOLDER)
+    end = 1 + max(log.agg(F.max("seq")).first()[0] for log in inputs)
+    streams = []
+    for name, log, count in zip(("student", "classroom"), inputs, pieces):
+        path = write_in_order(log.select("seq", "key", "value"), tmp_path / name, count)
+        sources.close_topic(spark, path, end)
+        streams.append(sources.stream_topic(spark, path, "seq bigint, key string, value string", ONE_FILE))
+    out = str(tmp_path / "out")
+    run(streaming.start_topic, streaming.running_alerts_aligned(*streams, buckets=8), out)
+    assert sorted(map(tuple, sources.read_topic(spark, out).collect())) == sorted(map(tuple, rooms.overflow_alerts(*inputs).collect()))
+
+
+def test_rows_wait_for_the_other_topic(spark, tmp_path):
+    """While a topic is open, what lies beyond its last record waits, over a restart too."""
+    schema = "seq bigint, key string, value string"
+    logs = {"student": [(0, "s1", "A"), (1, "s2", "A"), (5, "s3", "A")], "classroom": [(2, "A", "1"), (4, "B", "x")]}
+    streams, paths = [], []
+    for name, log in logs.items():
+        paths.append(sources.write_topic(spark.createDataFrame(log, schema).coalesce(1), str(tmp_path / name)))
+        streams.append(sources.stream_topic(spark, paths[-1], schema))
+    out = str(tmp_path / "out")
+    run(streaming.start_topic, streaming.running_alerts_aligned(*streams, buckets=2), out)
+    assert rows(sources.read_topic(spark, out)) == {(2, 0, "A", "2")}
+    for path in paths:
+        sources.close_topic(spark, path, 9)
+    run(streaming.start_topic, streaming.running_alerts_aligned(*streams, buckets=2), out)
+    assert rows(sources.read_topic(spark, out)) == {(2, 0, "A", "2"), (5, 1, "A", "3")}
+
+
 def test_word_counts_in_pieces(spark, tmp_path):
     lines = fixtures.text_lines(spark, FOLDER)
     schema = "topic string, seq bigint, key string, value string"
