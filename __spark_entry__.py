@@ -127,7 +127,7 @@ def _table(changes: DataFrame, label: str, key: str, value: str) -> DataFrame:
     """Run a stream of table changes to its end; the table it leads to."""
     spark = changes.sparkSession
     out = work_dir(spark, label)
-    streaming.start_changes(changes, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
+    streaming.start_changes(changes, f"{out}/log", f"{out}/state", streaming.TO_END, key, value).awaitTermination()
     return streaming.latest_changes(spark, f"{out}/log", key, value, f"{key} string, {value} bigint")
 
 
@@ -160,7 +160,7 @@ def _overflow_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _overflow_alerts_two_topics_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Both topics written as folders of unequally many files, then followed a file at a time."""
+    """Both topics written as folders of unequally many files, then followed a few files at a time."""
     logs = [read(spark, folder).select("seq", "key", "value") for read in (fixtures.moves, fixtures.capacities)]
     end = 1 + (operators.merge(*logs).agg(F.max("seq")).first()[0] or 0)
     out = work_dir(spark, "two-topics")
@@ -170,7 +170,7 @@ def _overflow_alerts_two_topics_stream(spark: SparkSession, folder: str) -> Data
             inside = F.col("seq").between(end * piece // files, end * (piece + 1) // files - 1)
             sources.write_topic(log.where(inside), f"{out}/{name}")
         sources.close_topic(spark, f"{out}/{name}", end)
-        streams.append(sources.stream_topic(spark, f"{out}/{name}", log.schema, {"maxFilesPerTrigger": 1}))
+        streams.append(sources.stream_topic(spark, f"{out}/{name}", log.schema, {"maxFilesPerTrigger": 2}))
     return _log(streaming.running_alerts_aligned(*streams), "alerts-two-topics")
 
 

@@ -92,4 +92,4 @@ def write_topic(records: DataFrame, path: str) -> str:
 def close_topic(spark: SparkSession, path: str, seq: int) -> str:
     """Append an empty record at ``seq``: the topic has nothing more before it."""
     record = spark.createDataFrame([(seq, None, None)], "seq bigint, key string, value string")
-    return write_topic(record, path)
+    return write_topic(record.coalesce(1), path)

@@ -15,6 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructType
 
 from logbrook.functions import parse_long
 from logbrook.operators import merge, word_counts
@@ -42,6 +43,9 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 # Fixed value: how often counts are passed on, unless another trigger is given.
 COMMIT_EVERY = "100 milliseconds"
 
+# After how many micro-batches the table they lead to is written whole.
+SNAPSHOT_EVERY = 1000
+
 TO_END = {"availableNow": True}
 
 # Into how many groups the keys of a processor fall by default, hence how many tasks can
@@ -71,23 +75,56 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> S
 # --- sinks -------------------------------------------------------------------------------
 
 
-def start_changes(changes: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_changes(
+    changes: DataFrame,
+    out: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    key: str | None = None,
+    value: str | None = None,
+    every: int = SNAPSHOT_EVERY,
+) -> StreamingQuery:
     """Write a table's changed rows, one folder per micro-batch.
 
     A batch that is repeated after a failure replaces its folder, so the log of
-    changes holds every batch once.
+    changes holds every batch once. Given the table's ``key`` and ``value``, the
+    whole table is written beside the log after each ``every`` batches; folders
+    of batches before a snapshot are not read again and may be removed.
     """
+    schema = changes.schema
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        if key and value and (number + 1) % every == 0:
+            table = _table_before(batch.sparkSession, out, key, value, schema, number)
+            table.write.mode("overwrite").parquet(f"{_snapshots(out)}/upto={number}")
 
+    changes.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{_snapshots(out)}/upto=-1")
     with _stateful(changes.sparkSession):
         return _start(changes.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
 
 
 def latest_changes(spark: SparkSession, out: str, key: str, value: str, schema: str) -> DataFrame:
-    """The table that a log of changes leads to."""
-    changes = spark.read.schema(f"{schema}, batch bigint").parquet(out)
+    """The table that a log of changes leads to: the newest snapshot and the batches since."""
+    return _table_before(spark, out, key, value, spark.createDataFrame([], schema).schema, None)
+
+
+def _snapshots(out: str) -> str:
+    return f"{out}-snapshots"
+
+
+def _table_before(
+    spark: SparkSession, out: str, key: str, value: str, schema: StructType, writing: int | None
+) -> DataFrame:
+    """The current table, not from the snapshot that is being ``writing``, which may be a repeated one."""
+    changes = spark.read.schema(StructType([*schema.fields]).add("batch", LongType())).parquet(out)
+    snapshots = spark.read.schema(StructType([*schema.fields]).add("upto", LongType())).parquet(_snapshots(out))
+    if writing is not None:
+        changes, snapshots = changes.where(F.col("batch") <= writing), snapshots.where(F.col("upto") < writing)
+    newest = snapshots.agg(F.max("upto")).first()[0]
+    if newest is not None:
+        held = snapshots.where(F.col("upto") == newest).withColumnRenamed("upto", "batch")
+        changes = changes.where(F.col("batch") > newest).unionByName(held)
     return changes.groupBy(key).agg(F.max_by(value, "batch").alias(value))
 
 

@@ -122,6 +122,23 @@ def test_rows_wait_for_the_other_topic(spark, tmp_path):
     assert rows(sources.read_topic(spark, out)) == {(2, 0, "A", "2"), (5, 1, "A", "3")}
 
 
+def test_snapshots_of_a_table_over_a_restart(spark, golden_log, tmp_path):
+    """Five batches, a snapshot after each second one; older batches are then not read any more."""
+    out, path = str(tmp_path / "occupancy"), str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    moves, _ = golden.topics(sources.stream_topic(spark, path, golden.SCHEMA, ONE_FILE))
+    start = lambda rows, *to: streaming.start_changes(rows, *to, "room", "occupants", every=2)
+    for part in (golden_log.where("seq < 4"), golden_log.where("seq >= 4")):
+        write_in_order(part, path, 3)
+        run(start, streaming.running_occupancy(moves, buckets=2), out)
+    snapshots = {folder.name for folder in (tmp_path / "occupancy-snapshots").iterdir() if folder.is_dir()}
+    assert {"upto=-1", "upto=1", "upto=3"} <= snapshots
+    assert rows(occupancy(spark, out)) == golden.OCCUPANCY
+    for number in (0, 1, 2, 3):
+        spark.createDataFrame([("A", 99)], "room string, occupants bigint").write.mode("overwrite").parquet(f"{out}/batch={number}")
+    assert rows(occupancy(spark, out)) == golden.OCCUPANCY
+
+
 def test_word_counts_in_pieces(spark, tmp_path):
     lines = fixtures.text_lines(spark, FOLDER)
     schema = "topic string, seq bigint, key string, value string"
