@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logbrook.llm import archives, embeddings, licenses, packing, quality, sampling, secret_scan, simhash, token_files, toxicity
+from logbrook.llm import archives, collocations, embeddings, licenses, packing, periodic, personal, quality, sampling, secret_scan, simhash, token_files, toxicity
 from logbrook.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +64,31 @@ def _archives(spark: SparkSession, folder: str) -> DataFrame:
     return archives.read_warc(spark, archives.convert(spark, arc, work_dir(spark, "warc")))
 
 
+def _collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.ranked(_table(spark, folder, "documents"))
+
+
+def _personal(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.found(_table(spark, folder, "documents"))
+
+
+def looped(key: int | None, n: int) -> np.ndarray | None:
+    """For one id in ten, the words from some place on as a repetition of the first few of them."""
+    code = 0 if key is None else zlib.crc32(str(key).encode())
+    if key is None or code % 10 or not n:
+        return None
+    seed = code // 10
+    start = seed % n
+    period = 1 + (n - start) // (3 + seed % 8)
+    order = np.arange(n)
+    order[start:] = start + (order[start:] - start) % period
+    return order
+
+
+def _periodic(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.found(_table(spark, folder, "documents"), reread=looped)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": _toxicity,
@@ -74,6 +101,9 @@ def queries() -> dict[str, Query]:
         "op8_token_files": _token_files,
         "op9_sampled_pieces": _sampling,
         "op10_archives": _archives,
+        "op11_collocations": _collocations,
+        "op12_personal": _personal,
+        "op13_periodic": _periodic,
     }
 
 
@@ -89,4 +119,32 @@ def oracle_sql() -> dict[str, str]:
                CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> kept THEN kept END AS refers_to
         FROM kept"""
-    return {"op10_archives": archives_sql}
+    # Phrases of all lengths, counted; each cut; what longer phrases hold; the first of each language.
+    collocations_sql = """WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents WHERE text IS NOT NULL),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS a FROM p),
+        g AS (
+          SELECT lang, size, unnest(list_transform(range(1, len(a) - size + 2), lambda i: array_to_string(a[i : i + size - 1], ' '))) AS phrase
+          FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(a) >= size),
+        f AS (SELECT lang, size, phrase, count(*) AS n FROM g GROUP BY ALL HAVING count(*) >= 30),
+        total AS (SELECT lang, CAST(sum(len(a)) AS BIGINT) AS n FROM w GROUP BY lang),
+        s AS (SELECT lang, size, phrase, n, string_split(phrase, ' ') AS a FROM f),
+        k AS (SELECT *, unnest(range(1, size)) AS k FROM s WHERE size > 1),
+        cuts AS (
+          SELECT k.lang, k.phrase, k.n AS a, k.k, l.n AS l, r.n AS r, CAST(2000000 * CAST(k.n AS HUGEINT) // (l.n + r.n) AS BIGINT) AS score
+          FROM k JOIN f AS l ON l.lang = k.lang AND l.phrase = array_to_string(k.a[1 : k.k], ' ')
+          JOIN f AS r ON r.lang = k.lang AND r.phrase = array_to_string(k.a[k.k + 1 :], ' ')),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_of AS (SELECT lang, n, a, unnest(range(2, size)) AS m, size FROM s WHERE size > 2),
+        held AS (
+          SELECT lang, phrase, max(n) AS held FROM (
+            SELECT lang, n, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(a[i : i + m - 1], ' '))) AS phrase FROM inner_of)
+          GROUP BY ALL)
+        SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank,
+               lowest.phrase, a, l, r, total.n, score
+        FROM lowest JOIN total USING (lang) LEFT JOIN held ON held.lang = lowest.lang AND held.phrase = lowest.phrase
+        WHERE held IS NULL OR 100 * held < 80 * a
+        QUALIFY rank <= 2000"""
+    return {"op10_archives": archives_sql, "op11_collocations": collocations_sql}
