@@ -9,9 +9,10 @@ frequent joins it, and a further pass counts the phrases this newly lets in,
 until no border phrase fails. Then all frequent phrases are known, with exact
 counts, whatever the sample was.
 
-The proposal travels as a sieve: one bit for each phrase's hash, ``1 << SIEVE_BITS``
-bits in all, so what is broadcast has a fixed size however many phrases there
-are. A chance hit lets a phrase be counted that need not be; none is lost by one.
+The proposal travels as a sieve: one bit for each phrase's hash, out of 32 to 64 a
+phrase but at most ``1 << MOST_BITS`` for each size and pass, so what is broadcast
+is bounded however many phrases there are. A chance hit lets a phrase be counted
+that need not be; none is lost by one.
 Counts are combined per piece of text and per task before they are shuffled by
 (group, phrase), so a phrase that makes up a third of all rows is one row a task.
 
@@ -39,8 +40,9 @@ LONGEST = 4
 SUPPORT = 30
 MOST = 2000
 SAMPLE_ONE_IN = 8
-SIEVE_BITS = 27
+MOST_BITS = 27
 """16 MB."""
+FEWEST_BITS = 15
 SPREAD = 512
 """In how many parts a group is ranked before the parts' best are ranked together."""
 
@@ -111,40 +113,49 @@ def place(mix: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Sieve:
-    """The bits of a set of phrases: 2 to the power of a number of at least 15, whatever the set."""
+    """Bitmaps of a set of phrases, some for each size; a bitmap's length is a power of two."""
 
-    def __init__(self, bits: np.ndarray) -> None:
-        self.bits = bits
+    def __init__(self, parts: dict[int, list[np.ndarray]]) -> None:
+        self.parts = parts
 
-    def holds(self, mix: np.ndarray) -> np.ndarray:
-        at = place(mix, len(self.bits).bit_length() + 2)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    def holds(self, size: int, mix: np.ndarray) -> np.ndarray:
+        held = np.zeros(len(mix), bool)
+        for bits in self.parts.get(size, ()):
+            at = place(mix, len(bits).bit_length() + 2)
+            held |= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return held
 
     def joined(self, other: Sieve) -> Sieve:
-        return Sieve(self.bits | other.bits)
+        return Sieve({size: self.parts.get(size, []) + other.parts.get(size, []) for size in {*self.parts, *other.parts}})
 
 
-def sieve(phrases: DataFrame, bits: int = SIEVE_BITS) -> Sieve:
-    """The sieve of ``grp, phrase`` rows. Tasks make its bits; the driver gets no more than its fixed size."""
+def sieve(phrases: DataFrame, most_bits: int = MOST_BITS) -> Sieve:
+    """The sieve of ``grp, size, phrase`` rows, which are read twice. The driver gets the bitmaps only."""
+    numbers = dict(map(tuple, phrases.groupBy("size").count().collect()))
+    bits = {size: min(most_bits, max(FEWEST_BITS, n.bit_length() + 5)) for size, n in numbers.items()}
     hashes = Hashes()
 
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mix = hashes.phrases(*(column.to_pylist() for column in batch.columns))
-            yield pa.RecordBatch.from_arrays([pa.array(place(mix, bits) + 1)], ["bit"])
-
-    places = phrases.select("grp", "phrase").mapInArrow(set_bits, "bit bigint")
-    packed = places.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+            mix = hashes.phrases(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            sizes = batch.column(1).to_numpy(zero_copy_only=False)
+            bit = np.zeros(len(mix), np.int64)
+            for size in np.unique(sizes).tolist():
+                bit[sizes == size] = place(mix[sizes == size], bits[size]) + 1
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(bit)], ["size", "bit"])
+
+    places = phrases.select("grp", "size", "phrase").mapInArrow(set_bits, "size int, bit bigint")
+    packed = places.groupBy("size", F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
-    whole = np.zeros(1 << (bits - 3), np.uint8)
-    for bucket, part in packed.collect():  # bits and buckets count from 1
-        whole[(bucket - 1) * len(part) : bucket * len(part)] |= np.frombuffer(part, np.uint8)
-    return Sieve(whole)
+    whole = {size: np.zeros(1 << (bits[size] - 3), np.uint8) for size in numbers}
+    for size, bucket, part in packed.collect():  # bits and buckets count from 1
+        whole[size][(bucket - 1) * len(part) : bucket * len(part)] = np.frombuffer(part, np.uint8)
+    return Sieve({size: [part] for size, part in whole.items()})
 
 
 def counts(
-    documents: DataFrame, text: str, group: str, allowed: Sieve | None, before: Sieve | None, sizes: tuple[int, ...]
+    documents: DataFrame, text: str, group: str, allowed: Sieve, before: Sieve | None, sizes: tuple[int, ...]
 ) -> DataFrame:
     """``grp, size, phrase, n``: exact counts of the phrases of these sizes that are let in.
 
@@ -170,7 +181,7 @@ def filled_groups(groups: pa.Array) -> pa.Array:
 
 
 def _counted(
-    texts: pa.Array, groups: pa.Array, hashes: Hashes, now: Sieve | None, then: Sieve | None, sizes: tuple[int, ...]
+    texts: pa.Array, groups: pa.Array, hashes: Hashes, now: Sieve, then: Sieve | None, sizes: tuple[int, ...]
 ) -> pa.RecordBatch:
     tokens = Tokens(texts)
     named = groups.dictionary_encode()
@@ -191,13 +202,13 @@ def _counted(
             found.append((whose, 0, pa.array([""] * len(whose)), total))
         for size in range(2, max(sizes) + 1):
             # ``at`` are the places where a phrase of size - 1 was let in; both parts of a longer one must be among them.
-            inside = now.holds(mix)
+            inside = now.holds(size - 1, mix)
             ok = np.flatnonzero((at[1:] == at[:-1] + 1) & inside[1:] & inside[:-1])
             ok = ok[tokens.piece[at[ok]] == tokens.piece[at[ok] + size - 1]]
             if not len(ok):
                 break
             if then is not None:
-                old &= then.holds(mix)
+                old &= then.holds(size - 1, mix)
             old = old[ok] & old[ok + 1]
             mix = mixed(mix[ok] ^ word[at[ok] + size - 1])
             key = number[ok] * width + tokens.code[at[ok] + size - 1]
@@ -230,7 +241,7 @@ def frequent(
     support: int = SUPPORT,
     longest: int = LONGEST,
     sample_one_in: int = SAMPLE_ONE_IN,
-    sieve_bits: int = SIEVE_BITS,
+    most_bits: int = MOST_BITS,
 ) -> tuple[DataFrame, DataFrame, int]:
     """All phrases with at least ``support`` occurrences, the words in all of each group, and how many full passes it took.
 
@@ -238,7 +249,7 @@ def frequent(
 
     The first are ``grp, size, phrase, n``, the second ``grp, total``.
     """
-    proposed = _proposal(documents, key, text, group, support, longest, sample_one_in, sieve_bits)
+    proposed = _proposal(documents, key, text, group, support, longest, sample_one_in, most_bits)
     sizes = tuple(range(1, longest + 1))
     counted = counts(documents, text, group, proposed, None, sizes)
     counted = stored(counted.where((F.col("n") >= support) | (F.col("size") == 0)), "phrase-counts")
@@ -246,10 +257,10 @@ def frequent(
     known = [counted.where("size > 0")]
     passes = 1
     while True:
-        failed = _missing(known[-1].where(F.col("size") < longest), proposed)
+        failed = stored(_missing(known[-1].where(F.col("size") < longest), proposed), "phrases-missed")
         if failed.isEmpty():
             break
-        wider = proposed.joined(sieve(failed, sieve_bits))
+        wider = proposed.joined(sieve(failed, most_bits))
         more = counts(documents, text, group, wider, proposed, sizes[1:])
         known.append(stored(more.where(F.col("n") >= support), "phrase-counts"))
         proposed, passes = wider, passes + 1
@@ -267,11 +278,10 @@ def _proposal(
     chosen = documents.where(F.pmod(F.xxhash64(key, text), F.lit(one_in)) == 0).select(text, group)
     sample = stored(chosen, "phrase-sample")
     lowered = support if one_in == 1 else max(2, support // (2 * one_in))
-    proposed = None
+    proposed = Sieve({})
     for size in range(1, longest):
-        often = counts(sample, text, group, proposed, None, (size,)).where(F.col("n") >= lowered)
-        found = sieve(often, bits)
-        proposed = found if proposed is None else proposed.joined(found)
+        often = counts(sample, text, group, proposed, None, (size,)).where((F.col("n") >= lowered) & (F.col("size") > 0))
+        proposed = proposed.joined(sieve(stored(often, "phrases-proposed"), bits))
     return proposed
 
 
@@ -282,10 +292,15 @@ def _missing(phrases: DataFrame, proposed: Sieve) -> DataFrame:
 
     def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mix = hashes.phrases(*(column.to_pylist() for column in batch.columns))
-            yield batch.filter(pa.array(~sieves.value.holds(mix)))
-
-    return phrases.select("grp", "phrase").mapInArrow(outside, "grp string, phrase string")
+            mix = hashes.phrases(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            sizes = batch.column(1).to_numpy(zero_copy_only=False)
+            held = np.zeros(len(mix), bool)
+            for size in np.unique(sizes).tolist():
+                held[sizes == size] = sieves.value.holds(size, mix[sizes == size])
+            yield batch.filter(pa.array(~held))
+
+    columns = phrases.select("grp", "size", "phrase")
+    return columns.mapInArrow(outside, columns.schema)
 
 
 def ranked(

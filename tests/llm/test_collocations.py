@@ -76,16 +76,16 @@ def test_all_frequent_phrases_are_counted_exactly(table, rng):
 def test_a_crowded_sieve_loses_nothing(table, rng):
     """Where all bits are set all phrases are let in, which costs counting only."""
     rows, langs = made_rows(rng)
-    full = collocations.Sieve(np.full(1 << 12, 255, np.uint8))
+    full = collocations.Sieve({size: [np.full(1 << 12, 255, np.uint8)] for size in (1, 2, 3)})
     found = collocations.counts(table(rows, langs), "text", "lang", full, None, (1, 2, 3, 4)).where("size > 0")
     counts, _ = brute_counts([(text, langs[at % len(langs)]) for at, (_, text) in enumerate(rows)])
     expected = [(lang, len(p), " ".join(p), n) for lang, own in counts.items() for p, n in own.items()]
     assert sorted(map(tuple, found.collect())) == sorted(expected)
-    none = collocations.Sieve(np.zeros(1 << 12, np.uint8))
+    none = collocations.Sieve({})
     later = collocations.counts(table(rows, langs), "text", "lang", full, none, (2, 3, 4))
     assert sorted(map(tuple, later.collect())) == sorted(row for row in expected if row[1] > 1)
     assert collocations.counts(table(rows, langs), "text", "lang", full, full, (2, 3, 4)).collect() == []
-    small = collocations.frequent(table(rows, langs), support=4, sieve_bits=15)[0]
+    small = collocations.frequent(table(rows, langs), support=4, most_bits=15)[0]
     assert sorted(map(tuple, small.collect())) == sorted(row for row in expected if row[3] >= 4)
 
 
