@@ -5,9 +5,9 @@ at a lowered threshold, length by length. One pass over all rows then counts, in
 the same run, the proposed phrases and their negative border: every phrase that
 was not proposed but whose two shorter parts were. All counts of that pass are
 exact. If a border phrase turns out frequent, the proposal was too small: what is
-frequent joins it, and a further pass counts the phrases this newly lets in,
-until no border phrase fails. Then all frequent phrases are known, with exact
-counts, whatever the sample was.
+frequent joins it, and one more pass counts the whole expansion: the phrases this
+newly lets in, those that these let in, and so on to the longest. Then all frequent
+phrases are known, with exact counts, whatever the sample was.
 
 The proposal travels as a sieve: one bit for each phrase's hash, out of 32 to 64 a
 phrase but at most ``1 << MOST_BITS`` for each size and pass, so what is broadcast
@@ -25,7 +25,6 @@ Ties are broken as ``ranked`` says, so the result is the same on every run.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +86,7 @@ class Hashes:
 
     def words(self, words: list[str]) -> np.ndarray:
         known = self._known
-        if len(known) > 1 << 19:
+        if len(known) > 1 << 17:
             known.clear()
         for word in words:
             if word not in known:
@@ -162,7 +161,8 @@ def counts(
     With size 1 comes a row of size 0 that counts a group's words.
 
     A phrase is let in if both of its parts that are one word shorter are in
-    ``allowed``; single words always are. What ``before`` let in already is left out.
+    ``allowed``; single words always are. With ``before`` it is the further pass:
+    what that let in is left out, and parts newly let in count as allowed.
     """
     sieves = documents.sparkSession.sparkContext.broadcast((allowed, before))
     hashes = Hashes()
@@ -187,50 +187,61 @@ def _counted(
     named = groups.dictionary_encode()
     names = named.dictionary
     group = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)[tokens.text]
-    found: list[tuple[np.ndarray, int, pa.Array, np.ndarray]] = []
-    if len(tokens.code):
-        word = hashes.words(tokens.distinct.to_pylist())[tokens.code]
-        mix = mixed(hashes.words(names.to_pylist())[group] ^ word)
-        # Equal phrases of one group get equal numbers: first words, then the number so far and the next word.
-        width = max(1, len(tokens.distinct))
-        _, first, number = np.unique(group * width + tokens.code, return_index=True, return_inverse=True)
-        at = np.arange(len(tokens.code))
-        old = np.full(len(at), then is not None)  # let in before
-        if 1 in sizes:
-            found.append((group[first], 1, _joined(tokens, first, 1), np.bincount(number)))
-            whose, total = np.unique(group, return_counts=True)
-            found.append((whose, 0, pa.array([""] * len(whose)), total))
-        for size in range(2, max(sizes) + 1):
-            # ``at`` are the places where a phrase of size - 1 was let in; both parts of a longer one must be among them.
-            inside = now.holds(size - 1, mix)
-            ok = np.flatnonzero((at[1:] == at[:-1] + 1) & inside[1:] & inside[:-1])
-            ok = ok[tokens.piece[at[ok]] == tokens.piece[at[ok] + size - 1]]
-            if not len(ok):
-                break
-            if then is not None:
-                old &= then.holds(size - 1, mix)
-            old = old[ok] & old[ok + 1]
-            mix = mixed(mix[ok] ^ word[at[ok] + size - 1])
-            key = number[ok] * width + tokens.code[at[ok] + size - 1]
-            at = at[ok]
-            _, first, number = np.unique(key, return_index=True, return_inverse=True)
-            if size in sizes:
-                new = ~old[first]
-                shown = at[first[new]]
-                found.append((group[shown], size, _joined(tokens, shown, size), np.bincount(number)[new]))
+    word, width = hashes.words(tokens.distinct.to_pylist()), len(tokens.distinct)
+    found: list[tuple[pa.Array, int, pa.Array, np.ndarray]] = []
+    # The first phrases are words: of each distinct one its group, spelling and hash; ``number`` says which stands where.
+    if 1 in sizes:
+        total = np.bincount(group, minlength=len(names))
+        found.append((names.take(pa.array(np.flatnonzero(total))), 0, pa.array([""] * np.count_nonzero(total)), total[total > 0]))
+    key = pa.array(group * width + tokens.code).dictionary_encode()
+    number, last = key.indices.to_numpy().astype(np.int64), key.dictionary.to_numpy()
+    phrases = [(names.take(pa.array(last // max(1, width))), tokens.distinct.take(pa.array(last % max(1, width))))]
+    mix = mixed(hashes.words(names.to_pylist())[last // max(1, width)] ^ word[last % max(1, width)])
+    if 1 in sizes:
+        found.append((phrases[0][0], 1, phrases[0][1], np.bincount(number)))
+    at = np.arange(len(tokens.code))
+    old = np.full(len(last), then is not None)  # let in before
+    for size in range(2, max(sizes) + 1):
+        # ``at`` are the places of the phrases let in that are one word shorter; both parts of a longer one must be there,
+        # and must have been proposed, or be let in by this pass.
+        part = now.holds(size - 1, mix)
+        if then is not None:
+            part |= ~old
+            old = old & then.holds(size - 1, mix)
+        inside = part[number]
+        ok = np.flatnonzero((at[1:] == at[:-1] + 1) & inside[1:] & inside[:-1])
+        ok = ok[tokens.piece[at[ok]] == tokens.piece[at[ok] + size - 1]]
+        if not len(ok):
+            break
+        key = pa.array(number[ok] * width + tokens.code[at[ok] + size - 1]).dictionary_encode()
+        head, tail = np.divmod(key.dictionary.to_numpy(), width)
+        new_number = key.indices.to_numpy().astype(np.int64)
+        first = np.empty(len(head), np.int64)
+        first[new_number[::-1]] = ok[::-1]
+        old = old[head] & old[number[first + 1]]
+        mix = mixed(mix[head] ^ word[tail])
+        at, number = at[ok], new_number
+        phrases.append((head, tail))
+        if size in sizes:
+            shown = np.flatnonzero(~old)
+            found.append((*_spelled(phrases, tokens.distinct, shown, size), np.bincount(number, minlength=len(old))[shown]))
     columns = [
-        names.take(pa.array(np.concatenate([g for g, *_ in found]))) if found else pa.array([], pa.string()),
+        pa.concat_arrays([own for own, *_ in found]) if found else pa.array([], pa.string()),
         pa.array(np.concatenate([np.full(len(n), size, np.int32) for _, size, _, n in found]) if found else [], pa.int32()),
-        pa.concat_arrays([phrases for _, _, phrases, _ in found]) if found else pa.array([], pa.string()),
+        pa.concat_arrays([shown for _, _, shown, _ in found]) if found else pa.array([], pa.string()),
         pa.array(np.concatenate([n for *_, n in found]) if found else [], pa.int64()),
     ]
     return pa.RecordBatch.from_arrays(columns, ["grp", "size", "phrase", "n"])
 
 
-def _joined(tokens: Tokens, at: np.ndarray, size: int) -> pa.Array:
-    """The phrases of so many words that begin at some places."""
-    words = [tokens.distinct.take(pa.array(tokens.code[at + step])) for step in range(size)]
-    return words[0] if size == 1 else pc.binary_join_element_wise(*words, " ")
+def _spelled(phrases: list[tuple], words: pa.Array, shown: np.ndarray, size: int) -> tuple[pa.Array, int, pa.Array]:
+    """Group, size and spelling of some of the phrases of a size; each is one a word shorter and a last word."""
+    parts = []
+    for head, tail in phrases[:0:-1]:
+        parts.append(words.take(pa.array(tail[shown])))
+        shown = head[shown]
+    own, spelled = (column.take(pa.array(shown)) for column in phrases[0])
+    return own, size, pc.binary_join_element_wise(spelled, *parts[::-1], " ")
 
 
 def frequent(
@@ -254,17 +265,14 @@ def frequent(
     counted = counts(documents, text, group, proposed, None, sizes)
     counted = stored(counted.where((F.col("n") >= support) | (F.col("size") == 0)), "phrase-counts")
     totals = counted.where("size = 0").select("grp", F.col("n").alias("total"))
-    known = [counted.where("size > 0")]
-    passes = 1
-    while True:
-        failed = stored(_missing(known[-1].where(F.col("size") < longest), proposed), "phrases-missed")
-        if failed.isEmpty():
-            break
-        wider = proposed.joined(sieve(failed, most_bits))
-        more = counts(documents, text, group, wider, proposed, sizes[1:])
-        known.append(stored(more.where(F.col("n") >= support), "phrase-counts"))
-        proposed, passes = wider, passes + 1
-    return reduce(DataFrame.unionByName, known), totals, passes
+    known = counted.where("size > 0")
+    failed = stored(_missing(known.where(F.col("size") < longest), proposed), "phrases-missed")
+    if failed.isEmpty():
+        return known, totals, 1
+    # Every phrase this pass lets in counts as proposed within it, so longer ones need no pass of their own:
+    # the parts of a frequent phrase are frequent, thus known to be so by now or let in here.
+    more = counts(documents, text, group, proposed.joined(sieve(failed, most_bits)), proposed, sizes[1:])
+    return known.unionByName(stored(more.where(F.col("n") >= support), "phrase-counts")), totals, 2
 
 
 def _proposal(
