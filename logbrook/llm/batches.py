@@ -25,17 +25,17 @@ def filled(texts: pa.Array) -> pa.Array:
     return pc.fill_null(texts, "")
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of a batch with at most ``CHUNK`` bytes of text each."""
+def pieces(batch: pa.RecordBatch, text: str, chunk: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with at most ``chunk`` bytes of text each."""
     if not batch.num_rows:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     start, held = 0, 0
-    if lengths.sum() <= CHUNK:
+    if lengths.sum() <= chunk:
         yield batch
         return
     for at, length in enumerate(lengths.tolist()):
-        if at > start and held + length > CHUNK:
+        if at > start and held + length > chunk:
             yield batch.slice(start, at - start)
             start, held = at, 0
         held += length
@@ -43,13 +43,17 @@ def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
 
 
 def map_texts(
-    rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str, text: str
+    rows: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: T.StructType | str,
+    text: str,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Apply a function to the rows' batches, piece by piece. Nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, chunk):
                 yield function(piece)
             pa.default_memory_pool().release_unused()
 

@@ -53,7 +53,8 @@ _BLANKS[list(b" \t")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-COUNTS = "grp string, size int, phrase string, n bigint"
+PIECE = 2 << 20
+"""Bytes of text whose phrases are counted at once."""
 
 
 class Tokens:
@@ -154,15 +155,23 @@ def sieve(phrases: DataFrame, most_bits: int = MOST_BITS) -> Sieve:
 
 
 def counts(
-    documents: DataFrame, text: str, group: str, allowed: Sieve, before: Sieve | None, sizes: tuple[int, ...]
+    documents: DataFrame,
+    text: str,
+    group: str,
+    allowed: Sieve,
+    before: Sieve | None,
+    sizes: tuple[int, ...],
+    least: int = 1,
 ) -> DataFrame:
-    """``grp, size, phrase, n``: exact counts of the phrases of these sizes that are let in.
-
-    With size 1 comes a row of size 0 that counts a group's words.
+    """``grp, size, phrase, n``: exact counts of the phrases of these sizes that are let in, if they are ``least`` or more.
 
     A phrase is let in if both of its parts that are one word shorter are in
     ``allowed``; single words always are. With ``before`` it is the further pass:
     what that let in is left out, and parts newly let in count as allowed.
+
+    With size 1 comes a row of size 0 and no phrase that counts a group's words.
+    Pieces of text are combined before the shuffle, where most phrases are met
+    once and a second combining would gain little.
     """
     sieves = documents.sparkSession.sparkContext.broadcast((allowed, before))
     hashes = Hashes()
@@ -171,9 +180,10 @@ def counts(
         now, then = sieves.value
         return _counted(batch.column(0), filled_groups(batch.column(1)), hashes, now, then, sizes)
 
-    rows = documents.select(text, group)
-    pieces = map_texts(rows, count, COUNTS, text)
-    return pieces.groupBy("grp", "size", "phrase").agg(F.sum("n").alias("n"))
+    pieces = map_texts(documents.select(text, group), count, "grp string, phrase string, n bigint", text, PIECE)
+    summed = pieces.repartition("grp", "phrase").groupBy("grp", "phrase").agg(F.sum("n").alias("n"))
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return summed.where((F.col("n") >= least) | (F.col("phrase") == "")).select("grp", size.alias("size"), "phrase", "n")
 
 
 def filled_groups(groups: pa.Array) -> pa.Array:
@@ -188,17 +198,16 @@ def _counted(
     names = named.dictionary
     group = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)[tokens.text]
     word, width = hashes.words(tokens.distinct.to_pylist()), len(tokens.distinct)
-    found: list[tuple[pa.Array, int, pa.Array, np.ndarray]] = []
+    found: list[tuple[pa.Array, pa.Array, np.ndarray]] = []
     # The first phrases are words: of each distinct one its group, spelling and hash; ``number`` says which stands where.
-    if 1 in sizes:
-        total = np.bincount(group, minlength=len(names))
-        found.append((names.take(pa.array(np.flatnonzero(total))), 0, pa.array([""] * np.count_nonzero(total)), total[total > 0]))
     key = pa.array(group * width + tokens.code).dictionary_encode()
     number, last = key.indices.to_numpy().astype(np.int64), key.dictionary.to_numpy()
     phrases = [(names.take(pa.array(last // max(1, width))), tokens.distinct.take(pa.array(last % max(1, width))))]
     mix = mixed(hashes.words(names.to_pylist())[last // max(1, width)] ^ word[last % max(1, width)])
     if 1 in sizes:
-        found.append((phrases[0][0], 1, phrases[0][1], np.bincount(number)))
+        total = np.bincount(group, minlength=len(names))
+        found.append((names, pa.array([""] * len(names), pa.string()), total))
+        found.append((*phrases[0], np.bincount(number, minlength=len(last))))
     at = np.arange(len(tokens.code))
     old = np.full(len(last), then is not None)  # let in before
     for size in range(2, max(sizes) + 1):
@@ -224,24 +233,23 @@ def _counted(
         phrases.append((head, tail))
         if size in sizes:
             shown = np.flatnonzero(~old)
-            found.append((*_spelled(phrases, tokens.distinct, shown, size), np.bincount(number, minlength=len(old))[shown]))
+            found.append((*_spelled(phrases, tokens.distinct, shown), np.bincount(number, minlength=len(old))[shown]))
     columns = [
-        pa.concat_arrays([own for own, *_ in found]) if found else pa.array([], pa.string()),
-        pa.array(np.concatenate([np.full(len(n), size, np.int32) for _, size, _, n in found]) if found else [], pa.int32()),
-        pa.concat_arrays([shown for _, _, shown, _ in found]) if found else pa.array([], pa.string()),
-        pa.array(np.concatenate([n for *_, n in found]) if found else [], pa.int64()),
+        pa.concat_arrays([own for own, _, _ in found] or [names[:0]]),
+        pa.concat_arrays([phrase for _, phrase, _ in found] or [tokens.distinct[:0]]),
+        pa.array(np.concatenate([n for *_, n in found] or [np.zeros(0, np.int64)]), pa.int64()),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["grp", "size", "phrase", "n"])
+    return pa.RecordBatch.from_arrays(columns, ["grp", "phrase", "n"])
 
 
-def _spelled(phrases: list[tuple], words: pa.Array, shown: np.ndarray, size: int) -> tuple[pa.Array, int, pa.Array]:
-    """Group, size and spelling of some of the phrases of a size; each is one a word shorter and a last word."""
+def _spelled(phrases: list[tuple], words: pa.Array, shown: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Group and spelling of some of the phrases of a size; each is one a word shorter and a last word."""
     parts = []
     for head, tail in phrases[:0:-1]:
         parts.append(words.take(pa.array(tail[shown])))
         shown = head[shown]
     own, spelled = (column.take(pa.array(shown)) for column in phrases[0])
-    return own, size, pc.binary_join_element_wise(spelled, *parts[::-1], " ")
+    return own, pc.binary_join_element_wise(spelled, *parts[::-1], " ")
 
 
 def frequent(
@@ -262,17 +270,16 @@ def frequent(
     """
     proposed = _proposal(documents, key, text, group, support, longest, sample_one_in, most_bits)
     sizes = tuple(range(1, longest + 1))
-    counted = counts(documents, text, group, proposed, None, sizes)
-    counted = stored(counted.where((F.col("n") >= support) | (F.col("size") == 0)), "phrase-counts")
-    totals = counted.where("size = 0").select("grp", F.col("n").alias("total"))
+    counted = stored(counts(documents, text, group, proposed, None, sizes, support), "phrase-counts")
+    totals = counted.where("size = 0 AND n > 0").select("grp", F.col("n").alias("total"))
     known = counted.where("size > 0")
     failed = stored(_missing(known.where(F.col("size") < longest), proposed), "phrases-missed")
     if failed.isEmpty():
         return known, totals, 1
     # Every phrase this pass lets in counts as proposed within it, so longer ones need no pass of their own:
     # the parts of a frequent phrase are frequent, thus known to be so by now or let in here.
-    more = counts(documents, text, group, proposed.joined(sieve(failed, most_bits)), proposed, sizes[1:])
-    return known.unionByName(stored(more.where(F.col("n") >= support), "phrase-counts")), totals, 2
+    more = counts(documents, text, group, proposed.joined(sieve(failed, most_bits)), proposed, sizes[1:], support)
+    return known.unionByName(stored(more, "phrase-counts")), totals, 2
 
 
 def _proposal(
@@ -288,7 +295,7 @@ def _proposal(
     lowered = support if one_in == 1 else max(2, support // (2 * one_in))
     proposed = Sieve({})
     for size in range(1, longest):
-        often = counts(sample, text, group, proposed, None, (size,)).where((F.col("n") >= lowered) & (F.col("size") > 0))
+        often = counts(sample, text, group, proposed, None, (size,), lowered).where("size > 0")
         proposed = proposed.joined(sieve(stored(often, "phrases-proposed"), bits))
     return proposed
 
