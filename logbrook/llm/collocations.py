@@ -53,9 +53,6 @@ _BLANKS[list(b" \t")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-PIECE = 2 << 20
-"""Bytes of text whose phrases are counted at once."""
-
 
 class Tokens:
     """The words of many texts, side by side: their number, their piece and their text."""
@@ -180,7 +177,7 @@ def counts(
         now, then = sieves.value
         return _counted(batch.column(0), filled_groups(batch.column(1)), hashes, now, then, sizes)
 
-    pieces = map_texts(documents.select(text, group), count, "grp string, phrase string, n bigint", text, PIECE)
+    pieces = map_texts(documents.select(text, group), count, "grp string, phrase string, n bigint", text)
     summed = pieces.repartition("grp", "phrase").groupBy("grp", "phrase").agg(F.sum("n").alias("n"))
     size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     return summed.where((F.col("n") >= least) | (F.col("phrase") == "")).select("grp", size.alias("size"), "phrase", "n")
