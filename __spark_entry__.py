@@ -28,6 +28,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Blocks of 1,024 offsets, so that the test tables have many.
 SMALL_BLOCKS = 10
+# The same of a log in the order of time: 2**34 microseconds, some five hours.
+TIME_BLOCKS = 34
+
+HOUR = "yyyy-MM-dd HH:mm:ss"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +65,16 @@ def _on_rooms(plan: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: plan(fixtures.moves(spark, folder), fixtures.capacities(spark, folder))
 
 
+def _on_partitions(plan: Callable[..., DataFrame], **options) -> Query:
+    """A plan on both topics in two partitions each, in the order of time, topic, partition and offset."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        topics = [fixtures.partitioned(read(spark, folder)) for read in (fixtures.moves, fixtures.capacities)]
+        return plan(*topics, order=operators.PLACE, **options).withColumn("timestamp", F.date_format("timestamp", HOUR))
+
+    return run
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 
@@ -280,6 +294,9 @@ def log_queries() -> dict[str, Query]:
         "room_status_labelled": _on_rooms(rooms.room_status_labelled),
         "overflow_alerts": _on_rooms(rooms.overflow_alerts),
         "overflow_alerts_blocks": _on_rooms(lambda moves, sizes: rooms.overflow_alerts(moves, sizes, bits=SMALL_BLOCKS)),
+        "overflow_alerts_partitions": _on_partitions(rooms.overflow_alerts),
+        "room_change_stream_partitions": _on_partitions(rooms.room_change_stream, bits=TIME_BLOCKS),
+        "room_change_with_previous_partitions": _on_partitions(rooms.room_change_with_previous),
         "overflow_alerts_stream": _overflow_alerts_stream,
         "overflow_alerts_two_topics_stream": _overflow_alerts_two_topics_stream,
         "replay_equivalence": _replay_equivalence,
@@ -308,34 +325,46 @@ topics AS (SELECT * FROM moves UNION ALL SELECT * FROM capacities),
 retained AS (SELECT * FROM topics WHERE ts >= (SELECT max(ts) FROM topics) - INTERVAL 168 HOUR),
 redelivered AS (SELECT * FROM moves WHERE ts >= (SELECT max(ts) FROM moves) - INTERVAL 168 HOUR)"""
 
-_ROOMS = f"""{_TOPICS},
-st AS (SELECT seq, key AS student, value AS room FROM moves),
-mv AS (SELECT *, lag(room) OVER (PARTITION BY student ORDER BY seq) AS prev FROM st),
+
+def _rooms_sql(place: str, topics: str) -> str:
+    """The rooms' changes; ``place`` are the columns that order the topics' records."""
+    return f"""{topics},
+st AS (SELECT {place}, key AS student, value AS room FROM moves),
+mv AS (SELECT *, lag(room) OVER (PARTITION BY student ORDER BY {place}) AS prev FROM st),
 d AS (
-  SELECT seq, CAST(0 AS INTEGER) AS sub, prev AS room, CAST(-1 AS BIGINT) AS delta FROM mv WHERE prev IS NOT NULL
-  UNION ALL SELECT seq, 1, room, 1 FROM mv),
+  SELECT {place}, CAST(0 AS INTEGER) AS sub, prev AS room, CAST(-1 AS BIGINT) AS delta FROM mv WHERE prev IS NOT NULL
+  UNION ALL SELECT {place}, 1, room, 1 FROM mv),
 occ AS (
-  SELECT seq, sub, room, CAST(sum(delta) OVER (PARTITION BY room ORDER BY seq, sub
+  SELECT {place}, sub, room, CAST(sum(delta) OVER (PARTITION BY room ORDER BY {place}, sub
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS occupants FROM d),
-cap AS (SELECT seq, key AS room, CAST(value AS BIGINT) AS size FROM capacities),
+cap AS (SELECT {place}, key AS room, CAST(value AS BIGINT) AS size FROM capacities),
 u AS (
-  SELECT seq, sub, room, occupants, CAST(NULL AS BIGINT) AS size, true AS moved FROM occ
-  UNION ALL SELECT seq, 0, room, NULL, size, false FROM cap),
+  SELECT {place}, sub, room, occupants, CAST(NULL AS BIGINT) AS size, true AS moved FROM occ
+  UNION ALL SELECT {place}, 0, room, NULL, size, false FROM cap),
 ch AS (
-  SELECT seq, sub, room, moved, last_value(occupants IGNORE NULLS) OVER w AS occupants,
+  SELECT {place}, sub, room, moved, last_value(occupants IGNORE NULLS) OVER w AS occupants,
          last_value(size IGNORE NULLS) OVER w AS size
-  FROM u WINDOW w AS (PARTITION BY room ORDER BY seq, sub ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  FROM u WINDOW w AS (PARTITION BY room ORDER BY {place}, sub ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 j AS (SELECT *, occupants - size AS overflow FROM ch WHERE occupants IS NOT NULL AND size IS NOT NULL),
-p AS (SELECT *, lag(overflow) OVER (PARTITION BY room ORDER BY seq, sub) AS prev_overflow FROM j),
+p AS (SELECT *, lag(overflow) OVER (PARTITION BY room ORDER BY {place}, sub) AS prev_overflow FROM j),
 labelled AS (
-  SELECT seq, sub, room, CASE WHEN occupants = size THEN 'OK' ELSE CAST(occupants AS VARCHAR) END AS status
+  SELECT {place}, sub, room, CASE WHEN occupants = size THEN 'OK' ELSE CAST(occupants AS VARCHAR) END AS status
   FROM p WHERE prev_overflow IS NOT NULL),
 alerts AS (
-  SELECT seq, sub, room, CASE WHEN overflow > 0 THEN CAST(occupants AS VARCHAR) ELSE 'OK' END AS status
-  FROM p WHERE overflow > 0 OR prev_overflow > 0),
+  SELECT {place}, sub, room, CASE WHEN overflow > 0 THEN CAST(occupants AS VARCHAR) ELSE 'OK' END AS status
+  FROM p WHERE overflow > 0 OR prev_overflow > 0)"""
+
+
+_ROOMS = f"""{_rooms_sql("seq", _TOPICS)},
 occupancy AS (SELECT room, CAST(sum(delta) AS BIGINT) AS occupants FROM d GROUP BY room),
 capacity AS (SELECT room, max_by(size, seq) AS size FROM cap GROUP BY room)"""
 
+_PLACE = ", ".join(operators.PLACE)
+_STAMP = "strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS timestamp"
+_DEALT = f"topic, CAST(seq % 2 AS INTEGER) AS partition, seq // 2 AS seq, {_STAMP}, key, value"
+_PARTITIONS = _rooms_sql(_PLACE, _TOPICS.replace("moves AS", "all_moves AS").replace("capacities AS", "all_capacities AS").replace("FROM moves", "FROM all_moves").replace("FROM capacities", "FROM all_capacities") + f""",
+moves AS (SELECT {_DEALT} FROM all_moves), capacities AS (SELECT {_DEALT} FROM all_capacities)""")
+
 _LINES = """
 lines AS (
   SELECT doc_id AS seq, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS line_no, unnest(a) AS line
@@ -360,6 +389,9 @@ def log_sql() -> dict[str, str]:
     def on_rooms(body: str) -> str:
         return f"WITH {_ROOMS} {body}"
 
+    def on_partitions(body: str) -> str:
+        return f"WITH {_PARTITIONS} {body}"
+
     def on_words(body: str) -> str:
         return f"WITH {_WORDS} {body}"
 
@@ -419,6 +451,11 @@ def log_sql() -> dict[str, str]:
         "room_status_labelled": on_rooms("SELECT seq, sub, room, status FROM labelled"),
         "overflow_alerts": alerts,
         "overflow_alerts_blocks": alerts,
+        "overflow_alerts_partitions": on_partitions(f"SELECT {_PLACE}, sub, room, status FROM alerts"),
+        "room_change_stream_partitions": on_partitions(f"SELECT {_PLACE}, sub, room, occupants, size FROM j"),
+        "room_change_with_previous_partitions": on_partitions(
+            f"SELECT {_PLACE}, sub, room, occupants, size, prev_overflow FROM p WHERE prev_overflow IS NOT NULL"
+        ),
         "overflow_alerts_stream": alerts,
         "overflow_alerts_two_topics_stream": alerts,
         "replay_equivalence": f"""WITH {_ROOMS}, {_WORDS},

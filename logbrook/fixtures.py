@@ -52,3 +52,19 @@ def capacities(spark: SparkSession, folder: str, streaming: bool = False) -> Dat
         _room().alias("key"),
         F.floor(F.col("user_id") / 5).cast("string").alias("value"),
     )
+
+
+def partitioned(records: DataFrame) -> DataFrame:
+    """A topic's records dealt out to two partitions with offsets of their own, stamped by the hour.
+
+    Offsets repeat between the partitions and between topics, and many records
+    share their time, so that only time, topic, partition and offset together order them.
+    """
+    return records.select(
+        "topic",
+        (F.col("seq") % 2).cast("int").alias("partition"),
+        F.shiftright("seq", 1).alias("seq"),
+        F.date_trunc("hour", "timestamp").cast(records.schema["timestamp"].dataType).alias("timestamp"),
+        "key",
+        "value",
+    )

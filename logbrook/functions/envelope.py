@@ -10,8 +10,9 @@ ENVELOPE_TYPES = {"string": "string", "bigint": "int64"}
 
 
 def wrap_json(payload: Column, spark_type: str = "string", optional: bool = False) -> Column:
-    """``{"schema": {...}, "payload": ...}`` as text."""
-    schema = F.struct(F.lit(ENVELOPE_TYPES[spark_type]).alias("type"), F.lit(optional).alias("optional"))
+    """``{"schema": {...}, "payload": ...}`` as text. A null payload, such as the key of a plain line, is optional by itself."""
+    may_lack = F.lit(optional) | payload.isNull()
+    schema = F.struct(F.lit(ENVELOPE_TYPES[spark_type]).alias("type"), may_lack.alias("optional"))
     return F.to_json(F.struct(schema.alias("schema"), payload.alias("payload")), {"ignoreNullFields": "false"})
 
 

@@ -1,11 +1,13 @@
 """Operators on logs and on the tables they describe."""
 
 from logbrook.operators.grouping import latest_per_key, merge, regroup_changes, regrouped_counts
-from logbrook.operators.running import running_state
+from logbrook.operators.running import PLACE, heavy_keys, running_state
 from logbrook.operators.upkeep import log_differences, retained, sequence_faults
 from logbrook.operators.wording import rekeyed, word_counts, word_records
 
 __all__ = [
+    "PLACE",
+    "heavy_keys",
     "latest_per_key",
     "log_differences",
     "merge",

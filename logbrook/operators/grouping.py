@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logbrook.operators.running import BLOCK_BITS, running_state
+from logbrook.operators.running import running_state
 
 
-def merge(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """All rows of several logs, copies included; a column one lacks is null."""
+def merge(first: DataFrame, *others: DataFrame, fill: bool = False) -> DataFrame:
+    """All rows of several logs of the same columns, copies included. Only with ``fill`` may one lack columns, which are null."""
     for other in others:
-        first = first.unionByName(other, allowMissingColumns=True)
+        first = first.unionByName(other, allowMissingColumns=fill)
     return first
 
 
@@ -20,24 +22,36 @@ def complete(records: DataFrame, key: str = "key", value: str = "value") -> Data
     return records.where(F.col(key).isNotNull() & F.col(value).isNotNull())
 
 
-def latest_per_key(records: DataFrame, key: str = "key", value: str = "value", order: str = "seq") -> DataFrame:
+def place(order: str | Sequence[str]) -> Column:
+    """One column, or several as one value that compares like them in turn."""
+    return F.col(order) if isinstance(order, str) else F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def latest_per_key(
+    records: DataFrame, key: str = "key", value: str = "value", order: str | Sequence[str] = "seq"
+) -> DataFrame:
     """The last value of each key; combined before the shuffle."""
-    return complete(records, key, value).groupBy(key).agg(F.max_by(value, order).alias(value))
+    return complete(records, key, value).groupBy(key).agg(F.max_by(value, place(order)).alias(value))
 
 
 def regroup_changes(
-    records: DataFrame, key: str = "key", group: str = "value", seq: str = "seq", bits: int = BLOCK_BITS
+    records: DataFrame,
+    key: str = "key",
+    group: str = "value",
+    order: Sequence[str] = ("seq",),
+    bits: int | None = None,
+    heavy: Sequence | None = None,
 ) -> DataFrame:
     """What a table's changes mean once it is grouped by its value.
 
     Each record moves its key into a group: -1 for the group it leaves, if any
     (``sub`` 0), then +1 for the one it enters (``sub`` 1), even when both are
-    the same.
+    the same. ``order`` is the records' place, ``heavy`` the keys with more rows than a task should get.
     """
-    log = complete(records, key, group).select(key, seq, group)
-    moves = running_state(log, key, [seq], latest={"now": F.col(group)}, bits=bits)
+    log = complete(records, key, group).select(key, *order, group)
+    moves = running_state(log, key, order, latest={"now": F.col(group)}, bits=bits, heavy=heavy)
     halves = F.array(_half(0, "prev_now", -1), _half(1, group, 1))
-    return moves.select(seq, F.inline(halves)).where(F.col("group").isNotNull()).withColumnRenamed("group", group)
+    return moves.select(*order, F.inline(halves)).where(F.col("group").isNotNull()).withColumnRenamed("group", group)
 
 
 def _half(sub: int, group: str, delta: int) -> Column:
@@ -46,13 +60,15 @@ def _half(sub: int, group: str, delta: int) -> Column:
     )
 
 
-def regrouped_counts(records: DataFrame, key: str = "key", group: str = "value", order: str = "seq") -> DataFrame:
+def regrouped_counts(
+    records: DataFrame, key: str = "key", group: str = "value", order: str | Sequence[str] = "seq"
+) -> DataFrame:
     """How many keys each group holds now; groups all keys have left stay, with 0.
 
     One small row per (key, group), its last place in the order, is all that is
     needed of the log, so the log is read once and combined before the shuffle.
     A key has as many of these as it has met groups.
     """
-    last = complete(records, key, group).groupBy(key, group).agg(F.max(order).alias("at"))
+    last = complete(records, key, group).groupBy(key, group).agg(F.max(place(order)).alias("at"))
     newest = F.max("at").over(Window.partitionBy(key))
     return last.withColumn("held", F.col("at") == newest).groupBy(group).agg(F.count_if("held").alias("n"))

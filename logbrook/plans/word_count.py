@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logbrook.functions import long_to_wire
-from logbrook.operators import rekeyed, running_state, word_counts, word_records
+from logbrook.operators import heavy_keys, rekeyed, running_state, word_counts, word_records
 from logbrook.sources import spread
 
 LINE_BLOCK_BITS = 12
@@ -34,8 +36,15 @@ def word_count_wire(lines: DataFrame, partitions: int | None = None) -> DataFram
 
 
 def word_count_changelog(
-    lines: DataFrame, bits: int = LINE_BLOCK_BITS, partitions: int | None = None
+    lines: DataFrame, bits: int = LINE_BLOCK_BITS, partitions: int | None = None, heavy: Sequence[str] | None = None
 ) -> DataFrame:
-    """The count of a word after each of its occurrences: ``seq, pos, word, n``."""
-    counted = running_state(word_tokens(lines, partitions), "word", ["seq", "pos"], sums={"n": F.lit(1)}, bits=bits)
+    """The count of a word after each of its occurrences: ``seq, pos, word, n``.
+
+    ``heavy`` words, those in more lines than a block has, are found first in one line of 64 if they are not given.
+    """
+    words = word_tokens(lines, partitions)
+    if heavy is None:
+        sample = word_tokens(lines.sample(1 / 64, seed=1))
+        (heavy,) = heavy_keys(sample, ("word", (1 << bits) // 64), one_in=1)
+    counted = running_state(words, "word", ["seq", "pos"], sums={"n": F.lit(1)}, bits=bits, heavy=heavy)
     return counted.select("seq", "pos", "word", "n")

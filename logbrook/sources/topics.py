@@ -31,13 +31,17 @@ RECORD = T.StructType(
 
 
 def from_broker(raw: DataFrame, value: str = "string") -> DataFrame:
-    """Decode a connector's binary rows; ``value`` is ``string`` or ``bigint``."""
+    """Decode a connector's binary rows; ``value`` is ``string`` or ``bigint``.
+
+    Times become what topic folders hold, times of UTC without a zone, whatever the session's zone.
+    """
+    time = F.expr("timestampadd(MICROSECOND, unix_micros(timestamp), TIMESTAMP_NTZ'1970-01-01 00:00:00')")
     body = long_from_wire(F.col("value")) if value == "bigint" else F.col("value").cast("string")
     return raw.select(
         "topic",
         "partition",
         F.col("offset").alias("seq"),
-        "timestamp",
+        time.alias("timestamp"),
         F.col("key").cast("string").alias("key"),
         body.alias("value"),
     )

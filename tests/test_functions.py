@@ -77,3 +77,29 @@ def test_broker_rows(spark):
     decoded = from_broker(raw, "bigint")
     assert decoded.select("seq", "key", "value").first() == (5, "k", 258)
     assert to_broker(decoded).columns == ["key", "value"]
+
+
+def test_null_payloads_are_optional_by_themselves(spark):
+    frame = spark.createDataFrame([("k",), (None,)], "s string")
+    texts = [row[0] for row in frame.select(wrap_json(F.col("s"))).collect()]
+    assert texts == [
+        '{"schema":{"type":"string","optional":false},"payload":"k"}',
+        '{"schema":{"type":"string","optional":true},"payload":null}',
+    ]
+    back = frame.select("s", unwrap_json(wrap_json(F.col("s"))).alias("back")).collect()
+    assert all(row["s"] == row["back"] for row in back)
+
+
+def test_broker_times_are_utc_whatever_the_session(spark):
+    from logbrook.sources.topics import RECORD, from_broker
+
+    raw = spark.sql("SELECT 't' AS topic, 0 AS partition, 5L AS offset, timestamp_micros(1711843200000001) AS timestamp, X'61' AS key, X'62' AS value")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            found = from_broker(raw)
+            assert [field.dataType for field in found.schema] == [field.dataType for field in RECORD]
+            assert str(found.first()["timestamp"]) == "2024-03-31 00:00:00.000001"
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import AnalysisException
 import datetime
 
 from pyspark.sql import functions as F
@@ -43,4 +45,7 @@ def test_latest_skips_nulls_and_merge_keeps_copies(spark):
     log = [(1, "a", "x"), (2, "a", None), (3, None, "y"), (4, "b", "z"), (5, "b", "w")]
     frame = spark.createDataFrame(log, "seq bigint, key string, value string")
     assert {tuple(row) for row in latest_per_key(frame).collect()} == {("a", "x"), ("b", "w")}
-    assert merge(frame, frame.withColumn("more", F.lit(1))).count() == 10
+    wider = frame.withColumn("more", F.lit(1))
+    assert merge(frame, wider, fill=True).count() == 10
+    with pytest.raises(AnalysisException):
+        merge(frame, wider)
