@@ -93,6 +93,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the rows has it."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows written to the session's shared folder and read again: lineage is cut, and lost executors lose nothing."""
     spark = rows.sparkSession

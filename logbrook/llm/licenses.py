@@ -15,6 +15,7 @@ in one document do not overlap; of equal ones the first counts.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import defaultdict
 
@@ -175,17 +176,24 @@ def _aligned(index: Index, text: np.ndarray, hits: np.ndarray, grams: np.ndarray
     found = []
     for number, diagonals in sorted(lines.items()):
         template = index.hashes[number]
-        own = []
-        for diagonal in sorted(set(diagonals)):
-            low, high = max(0, diagonal - BAND), min(len(text), diagonal + len(template) + BAND)
-            first, last, matched = banded(template, text[low:high], diagonal - low)
-            if matched >= COVERAGE * len(template):
-                own.append((-matched, low + first, low + last))
-        taken: list[tuple[int, int]] = []
-        for matched, first, last in sorted(own):
-            if all(last < a or first > b for a, b in taken):
-                taken.append((first, last))
-                found.append((number, first, last, -matched))
+        nowhere = next(value for value in range(len(template) + 1) if value not in set(template.tolist()))
+        left, open_text = sorted(set(diagonals)), text.copy()
+        # A diagonal's band reaches into the copy beside it. Words once matched are taken out and the rest aligned anew.
+        while left:
+            own = []
+            for diagonal in left:
+                low, high = max(0, diagonal - BAND), min(len(text), diagonal + len(template) + BAND)
+                first, last, matched = banded(template, open_text[low:high], diagonal - low)
+                if matched >= COVERAGE * len(template):
+                    own.append((-matched, low + first, low + last, diagonal))
+            taken: list[tuple[int, int]] = []
+            for matched, first, last, _ in sorted(own):
+                at = bisect.bisect_left(taken, (first, last))
+                if (at == len(taken) or last < taken[at][0]) and (at == 0 or taken[at - 1][1] < first):
+                    taken.insert(at, (first, last))
+                    found.append((number, first, last, -matched))
+                    open_text[first : last + 1] = nowhere
+            left = sorted(diagonal for *_, diagonal in own)
     return sorted(found, key=lambda match: (match[1], match[0]))
 
 

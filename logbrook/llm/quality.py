@@ -3,7 +3,9 @@
 A text's ratio is its compressed size over its size in UTF-8. How far a text
 packs depends on its length, so the accepted band does too (``BANDS``). Beside
 the whole text, chunks of ``CHUNK_BYTES`` are held against the same bands, which
-finds a long text that is bad in part.
+finds a text that is bad in part. Every text longer than one chunk is cut so; its
+last chunk ends where it ends and may overlap the one before. Noise of few
+characters, such as hexadecimal digits, packs like prose and is not told by ratios.
 
 Null texts count as empty. An empty text has ratio 1 and fails by its word
 count. Repeated rows and repeated ids are judged one by one; extra columns are
@@ -90,8 +92,9 @@ def _ratios(data: bytes) -> tuple[float, bool, int, int]:
     packer = zstandard.ZstdCompressor(level=LEVEL)
     ratio = len(packer.compress(data)) / len(data)
     bad = chunks = 0
-    if len(data) >= 2 * CHUNK_BYTES:
-        for start in range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES):
+    if len(data) > CHUNK_BYTES:
+        for start in range(0, len(data), CHUNK_BYTES):
+            start = min(start, len(data) - CHUNK_BYTES)
             chunk = data[start : start + CHUNK_BYTES]
             bad += not within_band(CHUNK_BYTES, len(packer.compress(chunk)) / CHUNK_BYTES)
             chunks += 1

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logbrook.llm.batches import Forest, filled, map_texts, stored
+from logbrook.llm.batches import Forest, filled, free_name, map_texts, stored
 from logbrook.llm.components import components
 
 SHINGLE = 3
@@ -62,11 +62,20 @@ def near_copies(
 def one_of_each(
     documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The documents with only the first of each group, once; rows without an id all stay."""
+    """The documents with only the first of each group, once; rows without an id all stay.
+
+    Of several rows with that first id the one whose text has the lowest hash
+    stays, whatever the partitioning; of rows that share that text too, the one
+    with the lowest hash of all its columns.
+    """
     groups = near_copies(documents, key, text, shingle, max_bits)
-    first = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("first_id")).distinct()
+    own = free_name(documents, "first_id")
+    first = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(own)).distinct()
     first = stored(first, "first-of-group")
-    chosen = documents.join(first.hint("merge"), F.col(key) == F.col("first_id"), "left_semi").dropDuplicates([key])
+    met = documents.join(first.hint("merge"), F.col(key) == F.col(own), "left_semi")
+    columns = [F.col(name) for name in documents.columns]
+    lowest = F.struct(F.xxhash64(text), F.xxhash64(*columns))
+    chosen = met.groupBy(F.col(key).alias(own)).agg(F.min_by(F.struct(*columns), lowest).alias("row")).select("row.*")
     return chosen.unionByName(documents.where(F.col(key).isNull()))
 
 

@@ -10,8 +10,8 @@ from labelled documents, and a logistic curve turns a text's evidence into a
 score.
 
 Labels are learned from a bounded sample (``SAMPLE`` rows of each class, those
-with the smallest hash); half of it is for the evidence, half for the curve. At most
-``MOST_FEATURES`` pieces of evidence are kept. The character model has
+with the smallest hash); half of it is for the evidence, half for the curve. All
+evidence found there is kept, which the sample bounds. The character model has
 ``len(CLASSES)**3`` counts however long the corpus is. These bounds make the model
 small enough to be sent to every task.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 import math
 import re
 import string
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 from logbrook.llm.batches import Words, filled, map_texts, stored
 
 SAMPLE = 8_000
-MOST_FEATURES = 50_000
 FOLDS, HELD_OUT = 5, 0
 
 # The marks and the letters they may stand for.
@@ -144,19 +143,23 @@ class Restorer:
     def restored(self, word: str) -> str:
         """The cheapest reading of a lower-case word, or of several single characters with blanks between."""
         n = len(word)
-        # Per place: for the two classes written last, the price so far and the way there.
-        best: list[dict] = [{} for _ in range(n + 1)]
+        # Per place that can be reached: for the two classes written last, the price so far and the way there.
+        best: dict[int, dict] = defaultdict(dict)
         best[0][(BLANK, BLANK)] = (0.0, None, "")
         for at in range(n):
-            if not best[at]:
+            if at not in best:
                 continue
             for written, to, price in self._readings(word, at):
-                kinds = [int(CLASS_OF[min(ord(mark), len(CLASS_OF) - 1)]) for mark in written]
+                # Of a long run the third letter costs what all later ones do.
+                kinds = [int(CLASS_OF[min(ord(mark), len(CLASS_OF) - 1)]) for mark in written[:3]]
                 for state, (so_far, _, _) in best[at].items():
-                    total, (first, second) = so_far + price, state
+                    total, (first, second), step = so_far + price, state, 0.0
                     for kind in kinds:
-                        total += float(self.price[first, second, kind])
+                        step = float(self.price[first, second, kind])
+                        total += step
                         first, second = second, kind
+                    if len(written) > 3:
+                        total += (len(written) - 3) * step
                     old = best[to].get((first, second))
                     if old is None or total < old[0]:
                         best[to][(first, second)] = (total, (at, state), written)
@@ -171,16 +174,19 @@ class Restorer:
     @staticmethod
     def _readings(word: str, at: int) -> Iterator[tuple[str, int, float]]:
         mark = word[at]
-        yield mark, at + 1, 0.0
         letters = READINGS.get(mark, "")
+        run = at + 1
+        if at == 0 or word[at - 1] != mark:  # a run is measured once, where it begins
+            while run < len(word) and word[run] == mark:
+                run += 1
+        # The letters of a run have no reading of their own, so they are passed at once.
+        alone = letters or mark in BETWEEN or run - at < 4
+        yield (mark, at + 1, 0.0) if alone else (word[at:run], run, 0.0)
         if len(letters) < 20 or (word[at - 1 : at].isalpha() and word[at + 1 : at + 2].isalpha()):
             for letter in letters:
                 yield letter, at + 1, SUBSTITUTED + math.log(len(letters))
-        run = at + 1
-        while run < len(word) and word[run] == mark:
-            run += 1
-        if run - at >= 3 and (at == 0 or word[at - 1] != mark):
-            for letter in [mark] if mark.isalpha() else letters[:2]:
+        if run - at >= 3:
+            for letter in [mark] if mark.isalpha() else letters:
                 yield letter, run, COLLAPSED
                 yield 2 * letter, run, COLLAPSED
         if mark in BETWEEN and 0 < at < len(word) - 1 and (at < 2 or word[at - 2] in BETWEEN or word[at + 2 : at + 3] in BETWEEN):
@@ -341,7 +347,7 @@ def _evidence(rows: DataFrame, restorer: Restorer, toxic: int, clean: int) -> di
 
     def best(counted: DataFrame) -> dict[str, float]:
         strong = counted.where(f"t >= {LEAST_DOCUMENTS}").select("feature", odds.alias("weight")).where("weight > 0")
-        return dict(map(tuple, strong.orderBy(F.desc("weight"), "feature").limit(MOST_FEATURES).collect()))
+        return dict(map(tuple, strong.collect()))
 
     words = _counted(rows, restorer, lambda word: [word])
     found = best(words)
@@ -354,7 +360,7 @@ def _evidence(rows: DataFrame, restorer: Restorer, toxic: int, clean: int) -> di
     known = F.broadcast(rows.sparkSession.createDataFrame([(start,) for start in starts], "start string"))
     alone = words.unionByName(beginnings).where("t = 0 AND c > 1")
     alone = alone.join(known, F.substring("feature", 1, min(PREFIXES)) == F.col("start"), "left_semi")
-    cleared = alone.orderBy(F.desc("c"), "feature").limit(MOST_FEATURES).select("feature").collect()
+    cleared = alone.select("feature").collect()
     return found | {row["feature"]: None for row in cleared}
 
 

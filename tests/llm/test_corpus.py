@@ -231,7 +231,8 @@ def test_quality_equals_brute_force(odd, nothing):
         if data:
             packed = zstandard.ZstdCompressor(level=3).compress
             kept &= quality.within_band(len(data), len(packed(data)) / len(data))
-            chunks = [data[s : s + 4096] for s in range(0, len(data) - 4095, 4096)] if len(data) >= 8192 else []
+            starts = [*range(0, len(data) - 4095, 4096), *([len(data) - 4096] if len(data) % 4096 else [])]
+            chunks = [data[at : at + 4096] for at in starts] if len(data) > 4096 else []
             kept &= sum(not quality.within_band(4096, len(packed(c)) / 4096) for c in chunks) <= 0.3 * len(chunks)
         symbols = len(re.findall(r"[#*$%&|<>]", text))
         expected[(i, len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed, kept)] += 1
@@ -473,7 +474,7 @@ def test_queries_return_every_row(spark, name):
     table = {"op3_embeddings": "embeddings", "op10_archives": "pages"}.get(name, "documents")
     n = spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
     rows = result.collect()
-    assert len(rows) >= n if name == "op6_packing" else len(rows) == n if name != "op5_licenses" else len(rows) > 0
+    assert len(rows) >= n if name == "op6_packing" else len(rows) == n if name not in ("op5_licenses", "op11_collocations") else len(rows) > 0
 
 
 def test_pipeline_against_its_parts(spark):
