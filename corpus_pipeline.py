@@ -24,18 +24,22 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, with all their columns. Null and empty texts fail by their word count."""
     return quality.kept(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near copies, one row of it; rows without an id all stay."""
     return simhash.one_of_each(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked and ``n_chars`` brought up to date; a null text stays null."""
     return secret_scan.masked(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its sequence and place there; an empty text is its end id alone."""
     return packing.pack(packing.pieces(docs))
 
 
