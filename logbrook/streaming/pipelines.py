@@ -22,7 +22,7 @@ from logbrook.operators import merge, word_counts
 from logbrook.operators.grouping import complete
 from logbrook.plans.rooms import alert, matched, room_log
 from logbrook.sources import to_broker
-from logbrook.streaming import processors
+from logbrook.streaming import packed, processors
 from logbrook.streaming.processors import (
     ALIGNED_MOVES_SCHEMA,
     MOVES_SCHEMA,
@@ -35,7 +35,8 @@ from logbrook.streaming.processors import (
 )
 
 # Executors get the processors themselves, so that the package need not be installed there.
-cloudpickle.register_pickle_by_value(processors)
+for module in (packed, processors):
+    cloudpickle.register_pickle_by_value(module)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = "spark.sql.streaming.stateStore.providerClass"

@@ -2,8 +2,8 @@
 
 Spark allows no aggregate on top of another aggregate in a stream, so a table
 regrouped by its value needs a processor that emits the moves. Keys are grouped
-into buckets, each with a map from key to state: one call then handles many
-keys as arrays, which costs a tenth of a call per key.
+into buckets, each with a packed table from key to state: one call then handles
+many keys as arrays, and reads and writes a page of them at a time.
 
 A call sees the rows its keys have in one micro-batch. The source's rate limit
 bounds them; they are held as numbers and handed on in slices, so a key with a
@@ -19,6 +19,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from logbrook.streaming.packed import PackedTable, WaitingRows
+
 MOVES_SCHEMA = "seq bigint, sub int, room string, delta bigint"
 ALIGNED_MOVES_SCHEMA = f"{MOVES_SCHEMA}, at timestamp"
 ROOMS_SCHEMA = (
@@ -66,7 +68,7 @@ class Moves(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rooms = handle.getMapState("rooms", "student string", "room string")
+        self.inside = PackedTable(handle, "rooms", room=pa.string())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         students, rooms = Names(), Names()
@@ -77,13 +79,12 @@ class Moves(StatefulProcessor):
         student, seq, entered = student[order], seq[order], entered[order]
         first, last = _ends(student)
 
-        names = students.all()
-        held = [self.rooms.getValue((name,)) for name in names[student[first]]]
+        names = students.all()[student[first]]
+        known, held = self.inside.find(names)
         left = np.append(-1, entered[:-1])
-        left[first] = [-1 if state is None else rooms.number(state[0]) for state in held]
+        left[first] = [rooms.number(room) if met else -1 for met, room in zip(known, held["room"])]
         places = rooms.all()
-        for name, room in zip(names[student[last]], places[entered[last]]):
-            self.rooms.updateValue((name,), (room,))
+        self.inside.save(room=places[entered[last]])
 
         had = left >= 0
         sub = np.repeat([0, 1], [had.sum(), len(seq)])
@@ -117,7 +118,8 @@ class Rooms(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.states = handle.getMapState("states", "room string", "occupants bigint, size bigint")
+        numbers = {"occupants": pa.int64(), "size": pa.int64()}
+        self.states = PackedTable(handle, "states", **numbers, occupied=pa.bool_(), limited=pa.bool_())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         rooms = Names()
@@ -130,7 +132,7 @@ class Rooms(StatefulProcessor):
         first, last = _ends(room)
         start, run = np.flatnonzero(first), np.cumsum(first) - 1
         names = rooms.all()
-        held, limit = zip(*[self.states.getValue((name,)) or (None, None) for name in names[room[first]]])
+        _, held = self.states.find(names[room[first]])
 
         # Running values of a run: the total so far less what it was when the run began.
         def running(step: np.ndarray) -> np.ndarray:
@@ -138,24 +140,24 @@ class Rooms(StatefulProcessor):
             return total - (total - step)[start][run]
 
         change = np.where(moved, amount, 0)
-        occupants = running(change) + _filled(held)[run]
-        occupied = _known(held)[run]
+        occupants = running(change) + held["occupants"][run]
+        occupied = held["occupied"][run]
         steps = running(moved.astype(np.int64))
         setting = np.maximum.accumulate(np.where(moved, -1, np.arange(len(seq))))
         fresh = setting >= start[run]
-        size = np.where(fresh, amount[setting], _filled(limit)[run])
-        limited = fresh | _known(limit)[run]
-        prev_size = np.where(first, _filled(limit)[run], np.roll(size, 1))
-        prev_limited = np.where(first, _known(limit)[run], np.roll(limited, 1))
+        size = np.where(fresh, amount[setting], held["size"][run])
+        limited = fresh | held["limited"][run]
+        prev_size = np.where(first, held["size"][run], np.roll(size, 1))
+        prev_limited = np.where(first, held["limited"][run], np.roll(limited, 1))
 
+        after = {"occupants": occupants, "size": size, "occupied": occupied | (steps > 0), "limited": limited}
+        self.states.save(**{name: column[last] for name, column in after.items()})
         state = {
-            "occupants": pd.arrays.IntegerArray(occupants, ~(occupied | (steps > 0))),
+            "occupants": pd.arrays.IntegerArray(occupants, ~after["occupied"]),
             "size": pd.arrays.IntegerArray(size, ~limited),
             "prev_occupants": pd.arrays.IntegerArray(occupants - change, ~(occupied | (steps > moved))),
             "prev_size": pd.arrays.IntegerArray(prev_size, ~prev_limited),
         }
-        for name, *after in zip(names[room[last]], state["occupants"][last], state["size"][last]):
-            self.states.updateValue((name,), tuple(None if value is pd.NA else int(value) for value in after))
         yield from _sliced({"seq": seq, "sub": sub, "room": names[room], **state})
 
     def close(self) -> None:
@@ -167,8 +169,9 @@ class AlignedRooms(Rooms):
 
     Rows wait in the state until the watermark, the place both topics have
     reached, has passed them, and are then applied in order. New rows always lie
-    beyond the watermark. A bucket has one timer, set to its first waiting row.
-    What waits is bounded by how far one topic is ahead of the other.
+    beyond the watermark. A bucket has one timer, set to its first waiting row; it
+    reads what is due, and little of what is not. What waits is bounded by how far
+    one topic is ahead of the other.
     """
 
     COLUMNS = ["room", "seq", "sub", "moved", "amount"]
@@ -176,34 +179,19 @@ class AlignedRooms(Rooms):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "rows binary")
+        self.waiting = WaitingRows(handle, "waiting")
         self.first = handle.getValueState("first", "place bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
         for chunk in rows:
-            self.waiting.appendValue((_packed(chunk[self.COLUMNS]),))
-            lowest = int(place(chunk["seq"]).min())
-            first = lowest if first is None else min(first, lowest)
-        if first is not None:
-            self._wake_at(first)
+            self._wake_at(self.waiting.add(chunk[self.COLUMNS], "moved", place(chunk["seq"])))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.first.clear()
-        reached = timerValues.getCurrentWatermarkInMs()
-        ready, early = [], []
-        for (data,) in self.waiting.get():
-            chunk = _unpacked(data)
-            passed = place(chunk["seq"]) <= reached
-            ready.append(chunk[passed])
-            early.append(chunk[~passed])
-        early = [chunk for chunk in early if len(chunk)]
-        self.waiting.clear()
-        if early:
-            self.waiting.put([(_packed(chunk),) for chunk in early])
-            self._wake_at(min(int(place(chunk["seq"]).min()) for chunk in early))
-        ready = [chunk for chunk in ready if len(chunk)]
+        ready, first = self.waiting.take(timerValues.getCurrentWatermarkInMs())
+        if first is not None:
+            self._wake_at(first)
         if ready:
             yield from super().handleInputRows(key, iter(ready), timerValues)
 
@@ -220,23 +208,3 @@ class AlignedRooms(Rooms):
 def place(seq):
     """An offset as an event time in milliseconds. The watermark begins at 0, which must lie before the first row."""
     return seq + 1
-
-
-def _packed(rows: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(rows, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as stream:
-        stream.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_pandas()
-
-
-def _filled(values: tuple[int | None, ...]) -> np.ndarray:
-    return np.array([value or 0 for value in values], dtype=np.int64)
-
-
-def _known(values: tuple[int | None, ...]) -> np.ndarray:
-    return np.array([value is not None for value in values])
