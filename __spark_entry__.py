@@ -258,11 +258,28 @@ def _log_diff(spark: SparkSession, folder: str) -> DataFrame:
     return operators.log_differences(_topic_scan_keyed(spark, folder), copy)
 
 
+def _log_diff_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, row by row only in the ranges of 64 offsets whose digests differ."""
+    shown = ["topic", "seq", "key", "value"]
+    copy = operators.merge(_retention_window(spark, folder), _redelivered(spark, folder).select(shown))
+    return operators.log_differences_by_range(_topic_scan_keyed(spark, folder), copy, bits=6)
+
+
 def _sequence_check(spark: SparkSession, folder: str) -> DataFrame:
     log = operators.merge(_topics(spark, folder), _redelivered(spark, folder))
     return operators.sequence_faults(log)
 
 
+def _sequence_check_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same log, dealt out to six files without regard to its order and followed two at a time."""
+    sent = (_topics(spark, folder), _redelivered(spark, folder))
+    log = operators.merge(*[rows.select("topic", "seq", F.lit(n).alias("sending")) for n, rows in enumerate(sent)])
+    path = sources.write_topic(log.repartition(6, "topic", "seq", "sending"), work_dir(spark, "sequences"))
+    stream = sources.stream_topic(spark, path, log.schema, {"maxFilesPerTrigger": 2})
+    found = streaming.running_sequence_check(stream, bits=SMALL_BLOCKS)
+    return streaming.sequence_faults_so_far(_log(found, "sequence-faults"))
+
+
 def queries() -> dict[str, Query]:
     return log_queries() | ({} if corpus is None else {**corpus.queries(), "pipeline": corpus_pipeline.run})
 
@@ -311,7 +328,9 @@ def log_queries() -> dict[str, Query]:
         "topic_mirror": _topic_mirror,
         "retention_window": _retention_window,
         "log_diff": _log_diff,
+        "log_diff_ranges": _log_diff_ranges,
         "sequence_check": _sequence_check,
+        "sequence_check_stream": _sequence_check_stream,
     }
 
 
@@ -479,20 +498,22 @@ def log_sql() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS key, text AS value FROM documents""",
         "topic_mirror": on_topics("SELECT topic, seq, key, value FROM topics"),
         "retention_window": on_topics("SELECT topic, seq, key, value FROM retained"),
-        "log_diff": on_topics(
+        "log_diff": (differences := on_topics(
             """, sides AS (
               SELECT topic, seq, key, value, 1 AS l, 0 AS r FROM topics
               UNION ALL SELECT topic, seq, key, value, 0, 1 FROM retained
               UNION ALL SELECT topic, seq, key, value, 0, 1 FROM redelivered)
             SELECT topic, seq, key, value, CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right
             FROM sides GROUP BY topic, seq, key, value HAVING sum(l) <> sum(r)"""
-        ),
-        "sequence_check": on_topics(
+        )),
+        "log_diff_ranges": differences,
+        "sequence_check": (faults := on_topics(
             """, met AS (
               SELECT topic, seq, count(*) AS times
               FROM (SELECT topic, seq FROM topics UNION ALL SELECT topic, seq FROM redelivered) GROUP BY topic, seq),
             linked AS (SELECT *, lag(seq) OVER (PARTITION BY topic ORDER BY seq) AS before FROM met)
             SELECT topic, seq, 'gap' AS fault, seq - before - 1 AS n FROM linked WHERE seq - before > 1
             UNION ALL SELECT topic, seq, 'repeat', times - 1 FROM linked WHERE times > 1"""
-        ),
+        )),
+        "sequence_check_stream": faults,
     }

@@ -2,7 +2,7 @@
 
 from logbrook.operators.grouping import latest_per_key, merge, regroup_changes, regrouped_counts
 from logbrook.operators.running import PLACE, heavy_keys, running_state
-from logbrook.operators.upkeep import log_differences, retained, sequence_faults
+from logbrook.operators.upkeep import log_differences, log_differences_by_range, retained, sequence_faults
 from logbrook.operators.wording import rekeyed, word_counts, word_records
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "heavy_keys",
     "latest_per_key",
     "log_differences",
+    "log_differences_by_range",
     "merge",
     "regroup_changes",
     "regrouped_counts",

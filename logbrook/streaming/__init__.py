@@ -8,7 +8,9 @@ from logbrook.streaming.pipelines import (
     running_alerts_aligned,
     running_occupancy,
     running_occupancy_changelog,
+    running_sequence_check,
     running_word_counts,
+    sequence_faults_so_far,
     start_broker,
     start_changes,
     start_topic,
@@ -22,7 +24,9 @@ __all__ = [
     "running_alerts_aligned",
     "running_occupancy",
     "running_occupancy_changelog",
+    "running_sequence_check",
     "running_word_counts",
+    "sequence_faults_so_far",
     "start_broker",
     "start_changes",
     "start_topic",

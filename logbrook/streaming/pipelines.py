@@ -12,25 +12,27 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StructType
 
 from logbrook.functions import parse_long
-from logbrook.operators import merge, word_counts
+from logbrook.operators import merge, running_state, word_counts
 from logbrook.operators.grouping import complete
 from logbrook.plans.rooms import alert, matched, room_log
 from logbrook.sources import to_broker
 from logbrook.streaming import packed, processors
 from logbrook.streaming.processors import (
     ALIGNED_MOVES_SCHEMA,
+    FAULTS_SCHEMA,
     MOVES_SCHEMA,
     ROOMS_SCHEMA,
     AlignedMoves,
     AlignedRooms,
     Moves,
     Rooms,
+    SeenNumbers,
     place,
 )
 
@@ -53,6 +55,9 @@ TO_END = {"availableNow": True}
 # share its work. A checkpoint is tied to its number: another would not find the old states.
 BUCKETS = 1024
 
+# Numbers of a topic that one task checks, as a power of two; tied to the checkpoint too.
+CHECKED_BITS = 16
+
 
 @contextmanager
 def _stateful(spark: SparkSession) -> Iterator[None]:
@@ -206,6 +211,31 @@ def running_alerts_aligned(moves: DataFrame, capacities: DataFrame, buckets: int
     return alert(matched(log.transformWithStateInPandas(AlignedRooms(), ROOMS_SCHEMA, "append", "eventTime")))
 
 
+def running_sequence_check(records: DataFrame, bits: int = CHECKED_BITS) -> DataFrame:
+    """Repeats and intervals seen, by topic and block of 2**``bits`` numbers, to be read by ``sequence_faults_so_far``.
+
+    A busy topic is shared by as many tasks as it has blocks in a micro-batch.
+    Records without a topic or a number are left out.
+    """
+    numbered = records.where("topic IS NOT NULL AND seq IS NOT NULL")
+    blocks = numbered.select("topic", F.shiftright("seq", bits).alias("block"), "seq").groupBy("topic", "block")
+    return blocks.transformWithStateInPandas(SeenNumbers(), FAULTS_SCHEMA, "append", "none")
+
+
+def sequence_faults_so_far(found: DataFrame) -> DataFrame:
+    """``topic, seq, fault, n``: the gaps and repeats that ``operators.sequence_faults`` finds in the same records.
+
+    A gap that a later record fills is none any more.
+    """
+    repeats = found.where("fault = 'repeat'").groupBy("topic", "seq", "fault").agg(F.sum("n").alias("n"))
+    newest = F.max("version").over(Window.partitionBy("topic", "block"))
+    seen = found.where("fault = 'seen'").withColumn("newest", newest).where("version = newest")
+    linked = running_state(seen, "topic", ["seq"], latest={"until": F.col("n")})
+    gap = F.col("seq") - F.col("prev_until") - 1
+    gaps = linked.select("topic", "seq", F.lit("gap").alias("fault"), gap.alias("n")).where("n > 0")
+    return merge(repeats, gaps)
+
+
 def _placed(records: DataFrame) -> DataFrame:
     """Records with an offset, and a watermark on it."""
     at = F.timestamp_millis(place(F.col("seq")))

@@ -26,6 +26,7 @@ ALIGNED_MOVES_SCHEMA = f"{MOVES_SCHEMA}, at timestamp"
 ROOMS_SCHEMA = (
     "seq bigint, sub int, room string, occupants bigint, size bigint, prev_occupants bigint, prev_size bigint"
 )
+FAULTS_SCHEMA = "topic string, block bigint, version bigint, fault string, seq bigint, n bigint"
 SLICE = 100_000
 
 
@@ -205,6 +206,46 @@ class AlignedRooms(Rooms):
         self.handle.registerTimer(first)
 
 
+class SeenNumbers(StatefulProcessor):
+    """Which numbers a topic had within one block of them, as intervals.
+
+    Takes ``seq`` by ``topic, block``. A batch gives a row ``repeat`` for each
+    number met before, in it or earlier, with how many times more, and all
+    intervals of the block, from ``seq`` to ``n``, under a new version. What is
+    kept are the intervals, so a block without holes is two numbers.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("seen", "version bigint, intervals binary")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        version, data = self.state.get() or (0, b"")
+        seen = np.frombuffer(data, dtype=np.int64).reshape(-1, 2)
+        met, times = np.unique(np.concatenate([chunk["seq"].to_numpy(np.int64) for chunk in rows]), return_counts=True)
+        at = np.searchsorted(seen[:, 0], met, "right") - 1
+        known = (at >= 0) & (met <= np.append(seen[:, 1], 0)[at])
+        more = times - ~known
+
+        fresh = met[~known]
+        starts = np.concatenate([seen[:, 0], fresh])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], np.concatenate([seen[:, 1], fresh])[order]
+        apart = starts[1:] != ends[:-1] + 1
+        seen = np.stack([starts[np.append(True, apart)], ends[np.append(apart, True)]], axis=1)
+        self.state.update((version + 1, seen.tobytes()))
+
+        again = more > 0
+        for fault, seq, n in (("repeat", met[again], more[again]), ("seen", seen[:, 0], seen[:, 1])):
+            for frame in _sliced({"seq": seq, "n": n}):
+                yield frame.assign(topic=key[0], block=key[1], version=version + 1, fault=fault)[FAULTS]
+
+    def close(self) -> None:
+        pass
+
+
+FAULTS = [column.split()[0] for column in FAULTS_SCHEMA.split(", ")]
+
+
 def place(seq):
     """An offset as an event time in milliseconds. The watermark begins at 0, which must lie before the first row."""
     return seq + 1

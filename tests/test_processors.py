@@ -214,3 +214,24 @@ def test_a_timer_reads_what_is_due_however_much_waits():
             assert sum(map(len, ready)) == (1 if reached == 0 else 100)
         costs.append((state.calls, state.size))
     assert costs[0] == costs[1]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_seen_numbers(seed):
+    """Random numbers in random batches: repeats add up, and the last intervals are the numbers met."""
+    pick, handle = random.Random(seed), FakeHandle()
+    check, numbers = processors.SeenNumbers(), []
+    check.init(handle)
+    repeats, seen = {}, []
+    for version in range(1, 12):
+        batch = [pick.randrange(pick.choice([8, 60])) for _ in range(pick.randrange(1, 12))]
+        numbers += batch
+        frames = list(check.handleInputRows(("t", 0), iter([pd.DataFrame({"seq": batch})]), None))
+        rows = pd.concat(frames)
+        assert set(rows["topic"]) == {"t"} and set(rows["version"]) == {version}
+        for row in rows[rows["fault"] == "repeat"].itertuples():
+            repeats[row.seq] = repeats.get(row.seq, 0) + row.n
+        seen = rows[rows["fault"] == "seen"][["seq", "n"]].to_numpy().tolist()
+    assert repeats == {number: numbers.count(number) - 1 for number in numbers if numbers.count(number) > 1}
+    assert [number for first, last in seen for number in range(first, last + 1)] == sorted(set(numbers))
+    assert all(first > last + 1 for (_, last), (first, _) in zip(seen, seen[1:]))

@@ -8,7 +8,7 @@ from golden import rows
 from pyspark.sql import functions as F
 
 from logbrook import fixtures, sources, streaming
-from logbrook.operators import merge
+from logbrook.operators import merge, sequence_faults
 from logbrook.plans import rooms, word_count
 
 FOLDER = "/root/testdata/sf0.001"
@@ -199,3 +199,19 @@ def test_counts_to_a_broker_are_wire_bytes(spark, tmp_path):
     sources.write_broker(counts, "parquet", "counts", {"path": str(tmp_path / "out")}, "word", "n")
     found = {row.key: bytes(row.value) for row in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert found == {"a": (2).to_bytes(8, "big"), "b": (1).to_bytes(8, "big")}
+
+
+def test_sequence_check_over_a_restart(spark, tmp_path):
+    """Holes that later records fill, repeats over batches, blocks without records, records without a number."""
+    schema = "topic string, seq bigint"
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    pieces = [[3, 4, 9, 9, 40], [5, 4, 100, 101], [0, 6, 41, 9, None]]
+    log = [spark.createDataFrame([("t", seq) for seq in piece] + [("u", piece[0]), (None, 1)], schema) for piece in pieces]
+    (tmp_path / "in").mkdir()
+    check = streaming.running_sequence_check(sources.stream_topic(spark, path, schema, ONE_FILE), bits=3)
+    for upto, piece in enumerate(log, 1):
+        sources.write_topic(piece.coalesce(1), path)
+        run(streaming.start_topic, check, out)
+        found = streaming.sequence_faults_so_far(sources.read_topic(spark, out))
+        expected = sequence_faults(merge(*log[:upto]).where("seq IS NOT NULL"))
+        assert rows(found.select("topic", "seq", "fault", "n")) == rows(expected.select("topic", "seq", "fault", "n"))

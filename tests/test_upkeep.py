@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from logbrook.operators import latest_per_key, log_differences, merge, retained, sequence_faults
+from logbrook.operators import latest_per_key, log_differences, log_differences_by_range, merge, retained, sequence_faults
 
 NEWEST = datetime.datetime(2024, 3, 8, 12)
 
@@ -49,3 +49,29 @@ def test_latest_skips_nulls_and_merge_keeps_copies(spark):
     assert merge(frame, wider, fill=True).count() == 10
     with pytest.raises(AnalysisException):
         merge(frame, wider)
+
+
+@pytest.mark.parametrize("few", [0, 1, 100])
+def test_differences_by_range_are_those_of_all_rows(spark, few):
+    """Nulls, copies, swapped columns, topics of one side and rows without an offset, with too many ranges and not."""
+    schema = "topic string, seq bigint, key string, value string"
+    common = [("t", seq, f"k{seq % 7}", None if seq % 5 else "v") for seq in range(200)]
+    left = [*common, ("t", 3, "k", "v"), ("t", 90, None, "a"), (None, None, "x", None), ("u", 4, None, None)]
+    right = [*common[:150], *common[151:], ("t", 90, "a", None), (None, None, None, "x"), (None, 0, "y", "y"), common[8]]
+    left, right = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    found = log_differences_by_range(left, right, bits=4, few=few)
+    assert found.columns == log_differences(left, right).columns
+    expected = sorted(map(str, log_differences(left, right).collect()))
+    assert sorted(map(str, found.collect())) == expected and len(expected) == 9
+    assert log_differences_by_range(left, left, bits=4, few=few).isEmpty()
+    assert log_differences_by_range(left.limit(0), right.limit(0)).isEmpty()
+
+
+def test_equal_logs_shuffle_digests_only(spark):
+    """Rows meet a broadcast of ranges before their exchange, and there is nothing to join by a shuffle."""
+    log = spark.range(1000).selectExpr("'t' AS topic", "id AS seq", "'k' AS key", "'v' AS value")
+    found = log_differences_by_range(log, log, bits=4)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+    assert found.isEmpty()
