@@ -3,6 +3,7 @@
 from logbrook.streaming.pipelines import (
     TO_END,
     copy_lines,
+    forget_changes,
     latest_changes,
     running_alerts,
     running_alerts_aligned,
@@ -19,6 +20,7 @@ from logbrook.streaming.pipelines import (
 __all__ = [
     "TO_END",
     "copy_lines",
+    "forget_changes",
     "latest_changes",
     "running_alerts",
     "running_alerts_aligned",

@@ -94,43 +94,63 @@ def start_changes(
 
     A batch that is repeated after a failure replaces its folder, so the log of
     changes holds every batch once. Given the table's ``key`` and ``value``, the
-    whole table is written beside the log after each ``every`` batches; folders
-    of batches before a snapshot are not read again and may be removed.
+    whole table opens a new folder of batches after each ``every`` of them, and a
+    head names it once it is complete. Readers list and read the newest of these
+    folders only; ``forget_changes`` removes the older ones. ``every`` may differ
+    from one start to the next.
     """
-    schema = changes.schema
+    spark, schema = changes.sparkSession, changes.schema
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/since=-1/batch=-1")
+    _add_head(spark, out, -1)
+    heads = _heads(spark, out)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        if key and value and (number + 1) % every == 0:
-            table = _table_before(batch.sparkSession, out, key, value, schema, number)
-            table.write.mode("overwrite").parquet(f"{_snapshots(out)}/upto={number}")
-
-    changes.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(f"{_snapshots(out)}/upto=-1")
-    with _stateful(changes.sparkSession):
+        since = max(head for head in heads if head < number)
+        batch.write.mode("overwrite").parquet(f"{out}/since={since}/batch={number}")
+        if key and value and (number + 1) % every == 0 and number not in heads:
+            session = batch.sparkSession
+            table = _table(session, out, since, key, value, schema)
+            table.write.mode("overwrite").parquet(f"{out}/since={number}/batch={number}")
+            _add_head(session, out, number)
+            heads.append(number)
+
+    with _stateful(spark):
         return _start(changes.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
 
 
 def latest_changes(spark: SparkSession, out: str, key: str, value: str, schema: str) -> DataFrame:
-    """The table that a log of changes leads to: the newest snapshot and the batches since."""
-    return _table_before(spark, out, key, value, spark.createDataFrame([], schema).schema, None)
-
-
-def _snapshots(out: str) -> str:
-    return f"{out}-snapshots"
-
-
-def _table_before(
-    spark: SparkSession, out: str, key: str, value: str, schema: StructType, writing: int | None
-) -> DataFrame:
-    """The current table, not from the snapshot that is being ``writing``, which may be a repeated one."""
-    changes = spark.read.schema(StructType([*schema.fields]).add("batch", LongType())).parquet(out)
-    snapshots = spark.read.schema(StructType([*schema.fields]).add("upto", LongType())).parquet(_snapshots(out))
-    if writing is not None:
-        changes, snapshots = changes.where(F.col("batch") <= writing), snapshots.where(F.col("upto") < writing)
-    newest = snapshots.agg(F.max("upto")).first()[0]
-    if newest is not None:
-        held = snapshots.where(F.col("upto") == newest).withColumnRenamed("upto", "batch")
-        changes = changes.where(F.col("batch") > newest).unionByName(held)
+    """The table that a log of changes leads to: the newest whole table and the batches since."""
+    return _table(spark, out, max(_heads(spark, out)), key, value, spark.createDataFrame([], schema).schema)
+
+
+def forget_changes(spark: SparkSession, out: str) -> list[int]:
+    """Remove the folders before the newest whole table, which readers that began earlier may still need; their heads."""
+    *old, newest = sorted(_heads(spark, out))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for head in old:
+        for folder in (f"{_heads_of(out)}/upto={head}", f"{out}/since={head}"):
+            files.delete(path(folder), True)
+    return old
+
+
+def _heads_of(out: str) -> str:
+    return f"{out}-heads"
+
+
+def _add_head(spark: SparkSession, out: str, number: int) -> None:
+    spark.range(1, numPartitions=1).write.mode("ignore").parquet(f"{_heads_of(out)}/upto={number}")
+
+
+def _heads(spark: SparkSession, out: str) -> list[int]:
+    """After which batches the table was written whole; one small file each."""
+    heads = spark.read.schema("id bigint, upto bigint").parquet(_heads_of(out))
+    return sorted(row.upto for row in heads.select("upto").distinct().collect())
+
+
+def _table(spark: SparkSession, out: str, since: int, key: str, value: str, schema: StructType) -> DataFrame:
+    with_batch = StructType([*schema.fields]).add("batch", LongType())
+    changes = spark.read.schema(with_batch).parquet(f"{out}/since={since}")
     return changes.groupBy(key).agg(F.max_by(value, "batch").alias(value))
 
 
