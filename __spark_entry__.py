@@ -162,10 +162,39 @@ def _room_occupancy_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _room_occupancy_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """By the batch operators in each micro-batch."""
+    moves = fixtures.moves(spark, folder, streaming=True)
+    out = work_dir(spark, "occupancy-changelog")
+    streaming.start_occupancy_changelog(moves, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
+    return streaming.batch_results(spark, f"{out}/log", "seq bigint, sub int, room string, occupants bigint")
+
+
+def _room_occupancy_changelog_processors_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """By processors that keep the rooms in their state."""
     moves = fixtures.moves(spark, folder, streaming=True)
     return _log(streaming.running_occupancy_changelog(moves), "occupancy-changelog")
 
 
+def _overflow_alerts_resumed_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the log in two micro-batches, a stop, and the rest with four times as many shuffle partitions."""
+    log = _topics(spark, folder).select("topic", "seq", "key", "value")
+    end = 1 + (log.agg(F.max("seq")).first()[0] or 0)
+    out, name = work_dir(spark, "alerts-resumed"), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        for half, partitions in enumerate((int(before), 4 * int(before))):
+            for piece in (2 * half, 2 * half + 1):
+                inside = F.col("seq").between(end * piece // 4, end * (piece + 1) // 4 - 1)
+                sources.write_topic(log.where(inside).coalesce(1), f"{out}/in")
+            spark.conf.set(name, partitions)
+            stream = sources.stream_topic(spark, f"{out}/in", log.schema, {"maxFilesPerTrigger": 1})
+            topics = [stream.where(F.col("topic") == topic) for topic in ("student", "classroom")]
+            streaming.start_alerts(*topics, f"{out}/log", f"{out}/state", streaming.TO_END).awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    return streaming.batch_results(spark, f"{out}/log", "seq bigint, sub int, room string, status string")
+
+
 def _overflow_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
     moves, capacities = (read(spark, folder, streaming=True) for read in (fixtures.moves, fixtures.capacities))
     return _log(streaming.running_alerts(moves, capacities), "alerts")
@@ -306,6 +335,7 @@ def log_queries() -> dict[str, Query]:
         "room_occupancy_changelog": _on_moves(rooms.room_occupancy_changelog),
         "room_occupancy_stream": _room_occupancy_stream,
         "room_occupancy_changelog_stream": _room_occupancy_changelog_stream,
+        "room_occupancy_changelog_processors_stream": _room_occupancy_changelog_processors_stream,
         "room_defaults": _on_rooms(rooms.room_defaults),
         "occupancy_join_capacity": _on_rooms(rooms.occupancy_join_capacity),
         "capacity_join_occupancy": _on_rooms(rooms.capacity_join_occupancy),
@@ -321,6 +351,7 @@ def log_queries() -> dict[str, Query]:
         "room_change_with_previous_partitions": _on_partitions(rooms.room_change_with_previous),
         "overflow_alerts_stream": _overflow_alerts_stream,
         "overflow_alerts_two_topics_stream": _overflow_alerts_two_topics_stream,
+        "overflow_alerts_resumed_stream": _overflow_alerts_resumed_stream,
         "replay_equivalence": _replay_equivalence,
         "file_lines_copy": _file_lines_copy,
         "json_envelope": _json_envelope,
@@ -459,6 +490,7 @@ def log_sql() -> dict[str, str]:
         "room_occupancy_changelog": changelog,
         "room_occupancy_stream": occupancy,
         "room_occupancy_changelog_stream": changelog,
+        "room_occupancy_changelog_processors_stream": changelog,
         "room_defaults": on_rooms(
             """SELECT room, coalesce(occupants, 0) AS occupants, coalesce(size, 9223372036854775807) AS size
             FROM occupancy FULL JOIN capacity USING (room)"""
@@ -483,6 +515,7 @@ def log_sql() -> dict[str, str]:
         ),
         "overflow_alerts_stream": alerts,
         "overflow_alerts_two_topics_stream": alerts,
+        "overflow_alerts_resumed_stream": alerts,
         "replay_equivalence": f"""WITH {_ROOMS}, {_WORDS},
             runs AS (
               SELECT 'word_count' AS pipeline, count(*) AS n FROM counts

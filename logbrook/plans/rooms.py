@@ -125,15 +125,20 @@ def room_changes(
     """
     students, busy = heavy(moves, capacities, bits)
     log = room_log(room_deltas(moves, bits, order, students), capacities, order)
-    state = _room_state(
+    state = room_states(log, order, _bits(moves, busy, bits, order), busy)
+    return matched(state.select(*order, "sub", "room", "moved", "occupants", "size", "prev_occupants", "prev_size"))
+
+
+def room_states(log: DataFrame, order: Order = SEQ, bits: int | None = None, busy: Sequence = ()) -> DataFrame:
+    """The rows of ``room_log`` with the room's ``occupants, size`` after each, and the same before it under ``prev_``."""
+    return _room_state(
         log,
         order,
-        _bits(moves, busy, bits, order),
-        busy,
+        bits,
+        list(busy),
         sums={"occupants": F.when(F.col("moved"), F.col("amount"))},
         latest={"size": F.when(~F.col("moved"), F.col("amount"))},
     )
-    return matched(state.select(*order, "sub", "room", "moved", "occupants", "size", "prev_occupants", "prev_size"))
 
 
 def room_log(deltas: DataFrame, capacities: DataFrame, order: Order = SEQ) -> DataFrame:

@@ -1,5 +1,6 @@
 """Continuous forms of the pipelines, on Structured Streaming."""
 
+from logbrook.streaming.by_batch import batch_results, start_alerts, start_occupancy_changelog
 from logbrook.streaming.pipelines import (
     TO_END,
     copy_lines,
@@ -19,6 +20,7 @@ from logbrook.streaming.pipelines import (
 
 __all__ = [
     "TO_END",
+    "batch_results",
     "copy_lines",
     "forget_changes",
     "latest_changes",
@@ -29,7 +31,9 @@ __all__ = [
     "running_sequence_check",
     "running_word_counts",
     "sequence_faults_so_far",
+    "start_alerts",
     "start_broker",
     "start_changes",
+    "start_occupancy_changelog",
     "start_topic",
 ]

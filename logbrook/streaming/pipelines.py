@@ -60,7 +60,7 @@ CHECKED_BITS = 16
 
 
 @contextmanager
-def _stateful(spark: SparkSession) -> Iterator[None]:
+def stateful(spark: SparkSession) -> Iterator[None]:
     """Settings a stateful query takes over when it starts.
 
     State is kept in RocksDB, in as many partitions as the session shuffles into.
@@ -73,7 +73,7 @@ def _stateful(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": COMMIT_EVERY})).start()
 
@@ -99,23 +99,45 @@ def start_changes(
     folders only; ``forget_changes`` removes the older ones. ``every`` may differ
     from one start to the next.
     """
-    spark, schema = changes.sparkSession, changes.schema
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/since=-1/batch=-1")
-    _add_head(spark, out, -1)
-    heads = _heads(spark, out)
-
-    def write(batch: DataFrame, number: int) -> None:
-        since = max(head for head in heads if head < number)
-        batch.write.mode("overwrite").parquet(f"{out}/since={since}/batch={number}")
-        if key and value and (number + 1) % every == 0 and number not in heads:
+    log = ChangeLog(changes.sparkSession, out, changes.schema, key, value, every)
+    with stateful(changes.sparkSession):
+        return start(changes.writeStream.outputMode("update").foreachBatch(log.write), checkpoint, trigger)
+
+
+class ChangeLog:
+    """The folders of one log of changes, as the query that writes it sees them."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        out: str,
+        schema: StructType | str,
+        key: str | None,
+        value: str | None,
+        every: int = SNAPSHOT_EVERY,
+    ) -> None:
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("ignore").parquet(f"{out}/since=-1/batch=-1")
+        _add_head(spark, out, -1)
+        self.out, self.schema, self.key, self.value, self.every = out, empty.schema, key, value, every
+        self.heads = _heads(spark, out)
+
+    def _since(self, number: int) -> int:
+        return max(head for head in self.heads if head < number)
+
+    def before(self, spark: SparkSession, number: int) -> DataFrame:
+        """The table as the batches before this one left it, also if this one is repeated."""
+        return _table(spark, self.out, self._since(number), self.key, self.value, self.schema, number)
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        since = self._since(number)
+        batch.write.mode("overwrite").parquet(f"{self.out}/since={since}/batch={number}")
+        if self.key and self.value and (number + 1) % self.every == 0 and number not in self.heads:
             session = batch.sparkSession
-            table = _table(session, out, since, key, value, schema)
-            table.write.mode("overwrite").parquet(f"{out}/since={number}/batch={number}")
-            _add_head(session, out, number)
-            heads.append(number)
-
-    with _stateful(spark):
-        return _start(changes.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
+            table = _table(session, self.out, since, self.key, self.value, self.schema)
+            table.write.mode("overwrite").parquet(f"{self.out}/since={number}/batch={number}")
+            _add_head(session, self.out, number)
+            self.heads.append(number)
 
 
 def latest_changes(spark: SparkSession, out: str, key: str, value: str, schema: str) -> DataFrame:
@@ -148,17 +170,21 @@ def _heads(spark: SparkSession, out: str) -> list[int]:
     return sorted(row.upto for row in heads.select("upto").distinct().collect())
 
 
-def _table(spark: SparkSession, out: str, since: int, key: str, value: str, schema: StructType) -> DataFrame:
+def _table(
+    spark: SparkSession, out: str, since: int, key: str, value: str, schema: StructType, before: int | None = None
+) -> DataFrame:
     with_batch = StructType([*schema.fields]).add("batch", LongType())
     changes = spark.read.schema(with_batch).parquet(f"{out}/since={since}")
+    if before is not None:
+        changes = changes.where(F.col("batch") < before)
     return changes.groupBy(key).agg(F.max_by(value, "batch").alias(value))
 
 
 def start_topic(records: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append records to a topic folder, each exactly once."""
     writer = records.writeStream.outputMode("append").format("parquet").option("path", out)
-    with _stateful(records.sparkSession):
-        return _start(writer, checkpoint, trigger)
+    with stateful(records.sparkSession):
+        return start(writer, checkpoint, trigger)
 
 
 def start_broker(
@@ -174,14 +200,14 @@ def start_broker(
 ) -> StreamingQuery:
     """Send two columns to a broker's topic; tables (counts) need the mode ``update``."""
     writer = to_broker(rows, key, value).writeStream.outputMode(mode).format(fmt).options(topic=topic, **options)
-    with _stateful(rows.sparkSession):
-        return _start(writer, checkpoint, trigger)
+    with stateful(rows.sparkSession):
+        return start(writer, checkpoint, trigger)
 
 
 def copy_lines(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Follow text lines and append them to text files."""
     writer = lines.select("value").writeStream.format("text").option("lineSep", "\n").option("path", out)
-    return _start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger)
 
 
 # --- tables and changelogs ---------------------------------------------------------------
