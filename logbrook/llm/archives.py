@@ -9,13 +9,14 @@ and digests. Of records with one payload of at least ``REVISIT_BYTES``, the one
 with the largest page number becomes the response and the others revisits of
 it.
 
-Records are read as a stream, one at a time. Which ones are revisits is decided
+Records are read as a stream, one at a time, whether a file is plain, one gzip member or a member for each record. Which ones are revisits is decided
 by Spark over one small row per record; pages themselves are never shuffled. Files
 are written under a name of their own and then moved.
 
 Defined results: null html is an empty payload; a null address is ``about:blank``; a
 record without a page number ranks behind all that have one. Extra columns are
-ignored; repeated rows are records of their own.
+ignored; repeated rows are records of their own. Records with a broken header, length or compression
+are left out and listed by ``arc_rejects``; all others of their file are converted as far as it can be read.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -39,7 +41,10 @@ from logbrook.llm.batches import stored
 REVISIT_BYTES = 1000
 CRAWLED = "20250101000000"
 READ_BYTES = 1 << 20
+LINE_BYTES = 1 << 20
+ROWS = 10_000
 LEVEL = 1
+ARC_FILES = (".arc.gz", ".arc")
 
 # The header fields of the two ARC versions, and the profile of a revisit.
 FIELDS = {
@@ -63,35 +68,87 @@ def _packed(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def members(file) -> Iterator[bytes]:
+class Unpackable(ValueError):
+    """Compressed bytes that end early or are none."""
+
+
+class Member:
+    """A gzip member, or a plain stream, read by lines and lengths. Holds what is asked for and some ``READ_BYTES``."""
+
+    def __init__(self, chunks: Iterator[bytes]) -> None:
+        self.chunks, self.held = chunks, bytearray()
+
+    def _more(self) -> bool:
+        chunk = next(self.chunks, b"")
+        self.held += chunk
+        return bool(chunk)
+
+    def line(self) -> bytes | None:
+        """The next line without its end, None behind the last one."""
+        seen = 0
+        while (end := self.held.find(b"\n", seen)) < 0:
+            seen = len(self.held)
+            if seen > LINE_BYTES:
+                raise ValueError(f"a line of more than {LINE_BYTES} bytes where a header is due")
+            if not self._more():
+                return self.take(seen) or None
+        return self.take(end + 1)[:-1]
+
+    def take(self, size: int) -> bytes:
+        """So many bytes, fewer only at the end."""
+        while len(self.held) < size and self._more():
+            pass
+        data = bytes(self.held[:size])
+        del self.held[:size]
+        return data
+
+    def leave(self) -> None:
+        """Pass over the rest."""
+        while self._more():
+            self.held.clear()
+
+
+def members(file) -> Iterator[Member]:
     """The gzip members of a stream, one after the other; a plain stream is one member."""
     data = file.read(READ_BYTES)
+    if len(data) == 1:
+        data += file.read(READ_BYTES)
     if data[:2] != b"\x1f\x8b":
-        rest = file.read()
-        if data:
-            yield data + rest
+        yield Member(chain([data], iter(lambda: file.read(READ_BYTES), b"")))
         return
     while data:
-        unpacker, parts = zlib.decompressobj(31), []
-        while not unpacker.eof:
-            parts.append(unpacker.decompress(data))
-            data = unpacker.unused_data
-            if not unpacker.eof:
-                data = file.read(READ_BYTES)
-                if not data:
-                    raise ValueError("a gzip member ends early")
-        yield b"".join(parts)
-        data = data or file.read(READ_BYTES)
+        rest: list[bytes] = []
+        member = Member(_unpacked(file, data, rest))
+        yield member
+        member.leave()
+        data = rest[0] or file.read(READ_BYTES)
 
 
-def _files(folder: str, ending: str) -> list[str]:
+def _unpacked(file, data: bytes, rest: list[bytes]) -> Iterator[bytes]:
+    """A member's bytes, in parts; ``rest`` gets what was read beyond it."""
+    unpacker = zlib.decompressobj(31)
+    while not unpacker.eof:
+        data = data or file.read(READ_BYTES)
+        try:
+            part = unpacker.decompress(data, READ_BYTES)
+        except zlib.error as error:
+            raise Unpackable(str(error)) from error
+        if not data and not part and not unpacker.eof:
+            raise Unpackable("a gzip member ends early")
+        data = unpacker.unconsumed_tail
+        if part:
+            yield part
+    rest.append(unpacker.unused_data)
+
+
+def _files(folder: str, endings: tuple[str, ...]) -> list[str]:
     system, base = fs.FileSystem.from_uri(folder)
     found = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
-    return sorted(info.base_name for info in found if info.base_name.endswith(ending))
+    return sorted(info.base_name for info in found if info.base_name.endswith(endings))
 
 
-def _file_rows(spark: SparkSession, folder: str, ending: str) -> DataFrame:
-    names = _files(folder, ending)
+def _file_rows(spark: SparkSession, folder: str, *endings: str) -> DataFrame:
+    names = _files(folder, endings)
     rows = spark.createDataFrame([(name,) for name in names], "file string")
     return rows.repartition(max(1, len(names)), "file") if names else rows
 
@@ -172,34 +229,63 @@ class ArcRecord:
         return (head + cut, payload) if cut or not head else (b"", self.block)
 
 
-def arc_records(file) -> Iterator[ArcRecord]:
-    """The records of an ARC stream, read as its version block says."""
+@dataclass
+class Broken:
+    """A place where a file is not as its headers say."""
+
+    number: int
+    reason: str
+
+
+def arc_records(file) -> Iterator[ArcRecord | Broken]:
+    """The records of an ARC stream, read as its version block says.
+
+    Behind a broken record reading goes on with the next gzip member; in a plain
+    file, and where the compression itself is broken, it ends there.
+    """
     names, number = FIELDS[1], 0
-    for data in members(file):
-        at = 0
-        while at < len(data):
-            end = data.find(b"\n", at)
-            line = data[at : end if end >= 0 else len(data)]
-            if not line.strip():
-                at = end + 1 if end >= 0 else len(data)
-                continue
-            values = line.decode("utf-8", "replace").split(" ")
-            if line.startswith(b"filedesc:"):
-                body = data[end + 1 : end + 1 + int(values[-1])].decode("utf-8", "replace").split("\n")
-                version = int(body[0].split(" ")[0])
-                names = tuple(body[1].split(" ")) if len(body) > 1 and body[1].strip() else FIELDS[version]
-                fields = dict(zip(names, [*values[:4], *[""] * (len(names) - 5), values[-1]]))
-            else:
-                # Only the address may hold blanks; the other fields are counted from the end.
-                tail = values[1 - len(names) :]
-                fields = dict(zip(names, [" ".join(values[: 1 - len(names)]), *tail]))
-            length = int(fields["Archive-length"])
-            block = data[end + 1 : end + 1 + length]
-            if len(block) < length:
-                raise ValueError(f"record {number} declares {length} bytes and has {len(block)}")
-            yield ArcRecord(number, fields, block)
-            number += 1
-            at = end + 1 + length
+    try:
+        for member in members(file):
+            try:
+                while (line := member.line()) is not None:
+                    if line.strip():
+                        names, fields, block = _arc_record(line.strip(b"\r"), member, names)
+                        yield ArcRecord(number, fields, block)
+                        number += 1
+            except (ValueError, KeyError) as error:
+                yield Broken(number, str(error))
+                number += 1
+                if isinstance(error, Unpackable):
+                    return
+    except Unpackable as error:
+        yield Broken(number, str(error))
+
+
+def _arc_record(line: bytes, member: Member, names: tuple[str, ...]) -> tuple[tuple[str, ...], dict[str, str], bytes]:
+    """A record's fields and block by its header line, and the names of the fields from here on."""
+    values = line.decode("utf-8", "replace").split(" ")
+    if line.startswith(b"filedesc:"):
+        block = _declared(member, values[-1])
+        body = block.decode("utf-8", "replace").split("\n")
+        version = int(body[0].split(" ")[0])
+        names = tuple(body[1].split()) if len(body) > 1 and body[1].strip() else FIELDS.get(version, ())
+        if not {"URL", "IP-address", "Archive-date", "Content-type", "Archive-length"} <= set(names):
+            raise ValueError(f"a version block of version {version} without the fields every record has")
+        return names, dict(zip(names, [*values[:4], *[""] * (len(names) - 5), values[-1]])), block
+    if len(values) < len(names):
+        raise ValueError(f"a header line of {len(values)} fields, not {len(names)}")
+    # Only the address may hold blanks; the other fields are counted from the end.
+    fields = dict(zip(names, [" ".join(values[: 1 - len(names)]), *values[1 - len(names) :]]))
+    return names, fields, _declared(member, fields["Archive-length"])
+
+
+def _declared(member: Member, length: str) -> bytes:
+    if not length.isdecimal():
+        raise ValueError(f"a length that is no number: {length[:40]}")
+    block = member.take(int(length))
+    if len(block) < int(length):
+        raise ValueError(f"a record that declares {int(length)} bytes and has {len(block)}")
+    return block
 
 
 # --- WARC --------------------------------------------------------------------------------
@@ -219,26 +305,50 @@ def _head(name: str, head: bytes) -> str | None:
     return None if found is None else found[1].decode("utf-8", "replace")
 
 
+def _page_id(head: bytes) -> int | None:
+    page = _head(PAGE_FIELD, head)
+    number = int(page) if page and re.fullmatch(r"-?[0-9]{1,19}", page) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
 def arc_index(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the ARC files that holds a page."""
 
+    schema = pa.schema([("file", pa.string()), ("number", pa.int64()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("digest", pa.string()), ("bytes", pa.int64())])
+
+    def rows(file: str) -> Iterator[tuple]:
+        for record in arc_records(_open(folder, file)):
+            if isinstance(record, ArcRecord) and record.kind != "warcinfo":
+                head, payload = record.parts()
+                place = (file, record.number, record_id(file, record), record.address, record.date)
+                yield *place, _page_id(head), hashlib.sha1(payload).hexdigest(), len(payload)
+
+    return _file_rows(spark, folder, *ARC_FILES).mapInArrow(_of_files(rows, schema), INDEX)
+
+
+def arc_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, number, reason``: the places at which ARC files are broken, which the conversion leaves out."""
+    schema = pa.schema([("file", pa.string()), ("number", pa.int64()), ("reason", pa.string())])
+
+    def rows(file: str) -> Iterator[tuple]:
+        for record in arc_records(_open(folder, file)):
+            if isinstance(record, Broken):
+                yield file, record.number, record.reason
+
+    return _file_rows(spark, folder, *ARC_FILES).mapInArrow(_of_files(rows, schema), "file string, number bigint, reason string")
+
+
+def _of_files(rows: Callable[[str], Iterator[tuple]], schema: pa.Schema) -> Callable:
+    """What a function finds in each file, in batches of bounded size."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("file", pa.string()), ("number", pa.int64()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("digest", pa.string()), ("bytes", pa.int64())])
         for batch in batches:
             for file in batch.column(0).to_pylist():
-                rows = []
-                for record in arc_records(_open(folder, file)):
-                    if record.kind != "warcinfo":
-                        head, payload = record.parts()
-                        page = _head(PAGE_FIELD, head)
-                        rows.append(
-                            (file, record.number, record_id(file, record), record.address, record.date)
-                            + (None if page is None else int(page), hashlib.sha1(payload).hexdigest(), len(payload))
-                        )
-                columns = list(zip(*rows)) or [[]] * len(schema)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                found = rows(file)
+                while some := list(islice(found, ROWS)):
+                    yield _batch(some, schema)
 
-    return _file_rows(spark, folder, ".arc.gz").mapInArrow(read, INDEX)
+    return read
 
 
 def revisits(index: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
@@ -260,7 +370,7 @@ def convert(spark: SparkSession, arc: str, warc: str) -> str:
     """Write each ARC file of a folder as a WARC file into another."""
     index = stored(arc_index(spark, arc), "arc-index")
     decided = revisits(index)
-    files = _file_rows(spark, arc, ".arc.gz")
+    files = _file_rows(spark, arc, *ARC_FILES)
 
     def write(key: tuple, mine: pa.Table, others: pa.Table) -> pa.Table:
         for file in mine.column("file").to_pylist():
@@ -270,8 +380,9 @@ def convert(spark: SparkSession, arc: str, warc: str) -> str:
             draft = f"{base}/.draft-{uuid.uuid4().hex}"
             with system.open_output_stream(draft, compression=None) as out:
                 for record in arc_records(_open(arc, file)):
-                    out.write(_packed(warc_record(file, record, seen.get(record.number))))
-            system.move(draft, f"{base}/{file.removesuffix('.arc.gz')}.warc.gz")
+                    if isinstance(record, ArcRecord):
+                        out.write(_packed(warc_record(file, record, seen.get(record.number))))
+            system.move(draft, f"{base}/{warc_name(file)}")
         return pa.table({"file": pa.array([], pa.string())})
 
     done = files.groupBy("file").cogroup(decided.groupBy("file")).applyInArrow(write, "file string")
@@ -279,6 +390,11 @@ def convert(spark: SparkSession, arc: str, warc: str) -> str:
     return warc
 
 
+def warc_name(file: str) -> str:
+    """Where an ARC file's records go; ``a.arc`` and ``a.arc.gz`` may lie side by side."""
+    return f"{file.removesuffix('.arc.gz')}.warc.gz" if file.endswith(".gz") else f"{file}.warc.gz"
+
+
 def warc_record(file: str, record: ArcRecord, revisit: dict | None) -> bytes:
     """A record in WARC; as a revisit, with its HTTP head alone."""
     head, payload = record.parts()
@@ -311,18 +427,18 @@ def warc_record(file: str, record: ArcRecord, revisit: dict | None) -> bytes:
 
 def warc_records(file) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of each record of a WARC stream, digests checked."""
-    for data in members(file):
-        at = 0
-        while at < len(data):
-            end = data.index(b"\r\n\r\n", at)
-            lines = data[at:end].decode().split("\r\n")
-            fields = dict(line.split(": ", 1) for line in lines[1:])
-            at = end + 4 + int(fields["Content-Length"])
-            block = data[end + 4 : at]
+    for member in members(file):
+        while (line := member.line()) is not None:
+            if not line.strip():
+                continue
+            fields = {}
+            while (line := member.line()) and line != b"\r":
+                name, _, value = line.decode().removesuffix("\r").partition(": ")
+                fields[name] = value
+            block = member.take(int(fields["Content-Length"]))
             if _sha1(block) != fields["WARC-Block-Digest"]:
                 raise ValueError(f"digest of {fields['WARC-Record-ID']}")
             yield fields, block
-            at += 4
 
 
 def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
@@ -356,7 +472,6 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _page(fields: dict[str, str], block: bytes) -> tuple:
     head, cut, payload = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
-    page = _head(PAGE_FIELD, head)
     stated = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
     kind = fields["WARC-Type"]
     if kind == "revisit":
@@ -366,4 +481,4 @@ def _page(fields: dict[str, str], block: bytes) -> tuple:
         if hashlib.sha1(payload).hexdigest() != stated:
             raise ValueError(f"payload digest of {fields['WARC-Record-ID']}")
     target = fields.get("X-Refers-To-Page-Id")
-    return None if page is None else int(page), size, stated, kind, None if target is None else int(target), fields["WARC-Target-URI"], payload
+    return _page_id(head), size, stated, kind, None if target is None else int(target), fields["WARC-Target-URI"], payload

@@ -8,6 +8,11 @@ a minimal perfect hash whose number leads to the key's stored fingerprint and
 its first row. Shards follow one another in ascending key order; the table
 ``manifest`` has their key ranges, and the ids before each.
 
+A shard ends with the document that brings its ids to ``shard_bytes``, however much a
+task writes, and is read in ranges of rows. So a reader holds one shard's index and
+``READ_IDS`` ids, or one longer document. The manifest, a line for each ``shard_bytes``
+of ids, is some 10^-7 of the data and is kept sorted by all that look keys up.
+
 Files are written under a name of their own and then moved, so a repeated or
 speculative task replaces a file by its equal. Folders may lie wherever pyarrow's
 file systems reach; every executor must see them.
@@ -24,6 +29,9 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +45,22 @@ from logbrook.llm.batches import pieces
 from logbrook.llm.tokens import Encoder, tokenizer_path
 
 END_ID = 2
+SHARD_BYTES = 128 << 20
+READ_IDS = 4 << 20
+
+# Shards are numbered in key order: the task's number, then that of its shard in these bits.
+SHARDS_OF_A_TASK = 20
+
+BOUNDS = "shard bigint, documents bigint, ids bigint, first_key bigint, last_key bigint"
+
+
+class Piece(NamedTuple):
+    """Some documents: their keys, which of these are known, and the ids with each one's number of them."""
+
+    keys: np.ndarray
+    known: np.ndarray
+    counts: np.ndarray
+    ids: np.ndarray
 
 
 def write(
@@ -46,6 +70,7 @@ def write(
     text: str = "text",
     tokenizer: str | None = None,
     end_id: int = END_ID,
+    shard_bytes: int = SHARD_BYTES,
 ) -> str:
     """Encode the documents into shards in ``folder``, in ascending key order."""
     encoder = Encoder(tokenizer or tokenizer_path())
@@ -54,57 +79,74 @@ def write(
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     dealt = rows.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").select("key", "text")
 
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                ids, ends = encoder.encode(piece.column(1))
+                counts = np.diff(ends, prepend=0) + 1
+                data = np.insert(ids, ends, np.uint32(end_id)).astype(kind)
+                known = piece.column(0).is_valid().to_numpy(zero_copy_only=False)
+                yield Piece(piece.column(0).fill_null(0).to_numpy(zero_copy_only=False), known, counts, data)
+
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
-        keys, known, sizes = [], [], []
-        name = f"{base}/shard-{number:06d}"
-        draft = f"{base}/.draft-{uuid.uuid4().hex}"
-        with system.open_output_stream(draft) as out:
-            for batch in batches:
-                for piece in pieces(batch, "text"):
-                    ids, ends = encoder.encode(piece.column(1))
-                    counts = np.diff(ends, prepend=0) + 1
-                    whole = np.insert(ids, ends, np.uint32(end_id)).astype(kind)
-                    out.write(whole.tobytes())
-                    sizes.append(counts)
-                    known.append(piece.column(0).is_valid().to_numpy(zero_copy_only=False))
-                    keys.append(piece.column(0).fill_null(0).to_numpy(zero_copy_only=False))
-        if not keys:
-            system.delete_file(draft)
-            return
-        keys, known, sizes = map(np.concatenate, (keys, known, sizes))
-        system.move(draft, f"{name}.ids")
-        with system.open_output_stream(f"{draft}x") as out:
-            out.write(_to_bytes(_index(keys, known, sizes, np.zeros(0, kind))))
-        system.move(f"{draft}x", f"{name}.idx")
-        bounds = keys[known]
-        yield pa.RecordBatch.from_pylist(
-            [
-                {
-                    "shard": number,
-                    "documents": len(keys),
-                    "ids": int(sizes.sum()),
-                    "first_key": int(bounds[0]) if len(bounds) else None,
-                    "last_key": int(bounds[-1]) if len(bounds) else None,
-                }
-            ],
-            schema=pa.schema([(n, pa.int64()) for n in ("shard", "documents", "ids", "first_key", "last_key")]),
-        )
-
-    summary = dealt.mapInArrow(shard, "shard bigint, documents bigint, ids bigint, first_key bigint, last_key bigint")
-    # One row per pair of files: that is as many as there were tasks.
+        first = TaskContext.get().partitionId() << SHARDS_OF_A_TASK
+        sized = _by_size(encoded(batches), max(1, shard_bytes // np.dtype(kind).itemsize))
+        for number, own in groupby(sized, itemgetter(0)):
+            line = _write_shard(system, base, first + number, (piece for _, piece in own), kind)
+            yield pa.RecordBatch.from_pylist([line], schema=pa.schema([(name, pa.int64()) for name in line]))
+
+    summary = dealt.mapInArrow(shard, BOUNDS)
+    # One row per pair of files: that is as many as there were tasks, and one for each ``shard_bytes``.
     found = sorted(summary.collect())
     before, lines = 0, []
     for row in found:
         lines.append((*row, before))
         before += row["ids"]
-    schema = "shard bigint, documents bigint, ids bigint, first_key bigint, last_key bigint, ids_before bigint"
-    spark.createDataFrame(lines, schema).coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
+    spark.createDataFrame(lines, f"{BOUNDS}, ids_before bigint").coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
     return folder
 
 
+def _by_size(pieces: Iterator[Piece], most: int) -> Iterator[tuple[int, Piece]]:
+    """Which shard of the task the documents go to; it ends with the one that brings it to so many ids."""
+    shard, held = 0, 0
+    for piece in pieces:
+        starts, at = np.append(0, np.cumsum(piece.counts)), 0
+        while at < len(piece.counts):
+            end = min(int(np.searchsorted(starts, starts[at] + most - held)), len(piece.counts))
+            yield shard, Piece(piece.keys[at:end], piece.known[at:end], piece.counts[at:end], piece.ids[starts[at] : starts[end]])
+            held += int(starts[end] - starts[at])
+            at = end
+            if held >= most:
+                shard, held = shard + 1, 0
+
+
+def _write_shard(system: fs.FileSystem, base: str, number: int, pieces: Iterator[Piece], kind: str) -> dict[str, int | None]:
+    """Both files of a shard; its line of the manifest."""
+    keys, known, sizes = [], [], []
+    name, draft = f"{base}/shard-{number:012d}", f"{base}/.draft-{uuid.uuid4().hex}"
+    with system.open_output_stream(draft) as out:
+        for piece in pieces:
+            out.write(piece.ids.tobytes())
+            keys.append(piece.keys)
+            known.append(piece.known)
+            sizes.append(piece.counts)
+    keys, known, sizes = map(np.concatenate, (keys, known, sizes))
+    system.move(draft, f"{name}.ids")
+    with system.open_output_stream(f"{draft}x") as out:
+        out.write(_to_bytes(_index(keys, known, sizes, np.zeros(0, kind))))
+    system.move(f"{draft}x", f"{name}.idx")
+    bounds = keys[known]
+    return {
+        "shard": number,
+        "documents": len(keys),
+        "ids": int(sizes.sum()),
+        "first_key": int(bounds[0]) if len(bounds) else None,
+        "last_key": int(bounds[-1]) if len(bounds) else None,
+    }
+
+
 def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32``: every document, found by its key in its shard's index."""
     shards = spark.read.parquet(f"{folder}/manifest").select("shard", "ids_before")
@@ -112,7 +154,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield _documents(Shard(folder, number), before, with_ids)
+                yield from _documents(Shard(folder, number), before, with_ids)
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
     return shards.repartition(F.col("shard")).mapInArrow(load, schema)
@@ -120,11 +162,20 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
 
 def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """``doc_id, ids`` for those of the keys that the files hold; repeated documents give a row each."""
-    shards = spark.read.parquet(f"{folder}/manifest").where("first_key IS NOT NULL")
-    ranges = F.col("wanted").between(F.col("first_key"), F.col("last_key"))
-    # The manifest has a row per file; the session decides whether it is small enough to send round.
+    bounds = spark.read.parquet(f"{folder}/manifest").where("first_key IS NOT NULL").select("shard", "first_key", "last_key")
+    numbers, firsts, lasts = np.array(sorted(bounds.collect()), np.int64).reshape(-1, 3).T
     wanted = keys.select(F.col(key).cast("bigint").alias("wanted")).where("wanted IS NOT NULL").distinct()
-    placed = wanted.join(shards, ranges).select("shard", "wanted").repartition("shard").sortWithinPartitions("shard")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            # Shards follow one another in key order; rows of one key may go on in the next.
+            low, high = np.searchsorted(lasts, own), np.searchsorted(firsts, own, "right")
+            times = np.maximum(high - low, 0)
+            inside = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[inside]), pa.array(np.repeat(own, times))], ["shard", "wanted"])
+
+    placed = wanted.mapInArrow(place, "shard bigint, wanted bigint").repartition("shard").sortWithinPartitions("shard")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: Shard | None = None
@@ -148,7 +199,7 @@ class Shard:
     def __init__(self, folder: str, number: int) -> None:
         self.number = number
         self.system, base = fs.FileSystem.from_uri(folder)
-        self.path = f"{base}/shard-{number:06d}"
+        self.path = f"{base}/shard-{number:012d}"
         with self.system.open_input_stream(f"{self.path}.idx") as file:
             self.index = _from_bytes(file.read())
         self.kind = self.index["ids"].dtype
@@ -178,27 +229,32 @@ class Shard:
         return np.frombuffer(self.file.read_at(width * (end - start), width * start), self.kind).astype("<u4")
 
 
-def _documents(shard: Shard, before: int, with_ids: bool) -> pa.RecordBatch:
-    """All rows of a shard: those with a key by looking it up, the others by their places."""
+def _documents(shard: Shard, before: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """All rows of a shard: those with a key by looking it up, the others by their places; some at a time."""
     keys, known, starts = (shard.index[name] for name in ("keys", "known", "starts"))
     distinct = np.unique(keys[known])
     first, count = shard.rows_of_all(distinct)
     looked_up = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
     rows = np.concatenate([np.flatnonzero(~known), looked_up]).astype(np.int64)
     own = np.concatenate([np.zeros((~known).sum(), np.int64), np.repeat(distinct, count)])
-    ids = shard.ids(0, int(starts[-1]))
-    spans = list(zip(starts[rows].tolist(), starts[rows + 1].tolist()))
-    columns = [
-        pa.array(own, mask=~known[rows]),
-        pa.array(starts[rows] + before),
-        pa.array(starts[rows + 1] - starts[rows]),
-        pa.array([zlib.crc32(ids[start:end]) for start, end in spans], pa.int64()),
-    ]
-    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
-    if with_ids:
-        columns.append(pa.array([ids[s:e].view(np.int32) for s, e in spans], pa.list_(pa.int32())))
-        names.append("ids")
-    return pa.RecordBatch.from_arrays(columns, names)
+    # Rows found lie in the order of their keys, as the files do, so some neighbours are one range of ids.
+    share = starts[rows] // READ_IDS
+    cuts = np.flatnonzero(np.append(True, share[1:] != share[:-1]))
+    for some, some_keys in zip(np.split(rows, cuts[1:]), np.split(own, cuts[1:])):
+        low, high = int(starts[some].min()), int(starts[some + 1].max())
+        ids = shard.ids(low, high)
+        spans = list(zip((starts[some] - low).tolist(), (starts[some + 1] - low).tolist()))
+        columns = [
+            pa.array(some_keys, mask=~known[some]),
+            pa.array(starts[some] + before),
+            pa.array(starts[some + 1] - starts[some]),
+            pa.array([zlib.crc32(ids[start:end]) for start, end in spans], pa.int64()),
+        ]
+        names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+        if with_ids:
+            columns.append(pa.array([ids[s:e].view(np.int32) for s, e in spans], pa.list_(pa.int32())))
+            names.append("ids")
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _index(keys: np.ndarray, known: np.ndarray, sizes: np.ndarray, kind: np.ndarray) -> dict[str, np.ndarray]:
