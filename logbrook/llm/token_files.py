@@ -47,6 +47,7 @@ from logbrook.llm.tokens import Encoder, tokenizer_path
 END_ID = 2
 SHARD_BYTES = 128 << 20
 READ_IDS = 4 << 20
+MOST_TASKS = 10_000
 
 # Shards are numbered in key order: the task's number, then that of its shard in these bits.
 SHARDS_OF_A_TASK = 20
@@ -157,7 +158,12 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
                 yield from _documents(Shard(folder, number), before, with_ids)
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    return shards.repartition(F.col("shard")).mapInArrow(load, schema)
+    return shards.repartition(_tasks(shards.count()), "shard").mapInArrow(load, schema)
+
+
+def _tasks(shards: int) -> int:
+    """How many tasks open shards. Their lines are few, so adaptive execution, left alone, would give them all to one."""
+    return max(1, min(shards, MOST_TASKS))
 
 
 def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -175,7 +181,8 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id
             inside = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
             yield pa.RecordBatch.from_arrays([pa.array(numbers[inside]), pa.array(np.repeat(own, times))], ["shard", "wanted"])
 
-    placed = wanted.mapInArrow(place, "shard bigint, wanted bigint").repartition("shard").sortWithinPartitions("shard")
+    placed = wanted.mapInArrow(place, "shard bigint, wanted bigint")
+    placed = placed.repartition(_tasks(len(numbers)), "shard").sortWithinPartitions("shard")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: Shard | None = None
