@@ -1,12 +1,14 @@
-"""State of many keys held as arrays.
+"""State of many keys held as arrays, and rows handed to a processor as arrays.
 
 A call to the state store costs some hundred microseconds whatever it carries,
 so what a bucket of keys knows is packed: a table in pages of some hundred keys,
-and waiting rows in runs of some thousand.
+and waiting rows in runs of some thousand. Spark hands a processor its rows one by
+one, at some ten microseconds each, so they come packed too: some thousand to a row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -19,6 +21,11 @@ PAGE = 512
 # Rows in a run.
 RUN = 4096
 
+# Rows of a task that are dealt to buckets together, and bytes of a bucket's rows in one piece. The pieces
+# of one Arrow batch, 10,000 of them if nothing else is set, then stay below the 2 GB that a column of it may have.
+DEALT = 1 << 19
+PIECE = 1 << 16
+
 
 class PackedTable:
     """A table from a key to values that are never null, in the state of one bucket.
@@ -165,3 +172,47 @@ def _packed(rows: pd.DataFrame) -> bytes:
 
 def _unpacked(data: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(data).read_pandas()
+
+
+def packer(schema: pa.Schema, bucket: str, rows: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Makes record batches that have a bucket besides the schema's columns into one of buckets and pieces of their rows."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= DEALT:
+                yield from dealt(held)
+                held, n = [], 0
+        if n:
+            yield from dealt(held)
+
+    def dealt(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        numbers = table[bucket].to_numpy()
+        order = np.argsort(numbers, kind="stable")
+        columns = table.select(schema.names).cast(schema).take(order).combine_chunks()
+        numbers = numbers[order]
+        length = max(1, PIECE * len(numbers) // max(1, columns.nbytes))
+        found, starts = np.unique(numbers, return_index=True)
+        names, pieces, size = [], [], 0
+        for number, first, end in zip(found, starts, [*starts[1:], len(numbers)]):
+            for start in range(first, end, length):
+                (piece,) = columns.slice(start, min(length, end - start)).to_batches()
+                pieces.append(piece.serialize().to_pybytes())
+                names.append(number)
+                size += len(pieces[-1])
+                if size >= PIECE * RUN:
+                    yield pa.record_batch([pa.array(names, pa.int64()), pa.array(pieces, pa.binary())], names=[bucket, rows])
+                    names, pieces, size = [], [], 0
+        yield pa.record_batch([pa.array(names, pa.int64()), pa.array(pieces, pa.binary())], names=[bucket, rows])
+
+    return packed
+
+
+def unpacked(chunks: Iterator[pd.DataFrame], schema: pa.Schema, rows: str) -> Iterator[pd.DataFrame]:
+    """The rows of the pieces that a processor was given."""
+    for chunk in chunks:
+        batches = [pa.ipc.read_record_batch(pa.py_buffer(piece), schema) for piece in chunk[rows]]
+        yield pa.Table.from_batches(batches, schema).to_pandas()

@@ -27,11 +27,12 @@ from logbrook.streaming.processors import (
     ALIGNED_MOVES_SCHEMA,
     FAULTS_SCHEMA,
     MOVES_SCHEMA,
+    PIECES,
     ROOMS_SCHEMA,
     AlignedMoves,
     AlignedRooms,
-    Moves,
-    Rooms,
+    PackedMoves,
+    PackedRooms,
     SeenNumbers,
     place,
 )
@@ -43,6 +44,14 @@ for module in (packed, processors):
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = "spark.sql.streaming.stateStore.providerClass"
 
+# A micro-batch hands in what it changed; whole copies of the state follow in the background.
+CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+# A state partition is a task with a store of its own, and often a Python worker, in each micro-batch, which
+# takes most of a second however few rows there are. As micro-batches are bounded, a few for each core will do.
+PARTITIONS = "spark.sql.shuffle.partitions"
+PER_CORE = 4
+
 # Fixed value: how often counts are passed on, unless another trigger is given.
 COMMIT_EVERY = "100 milliseconds"
 
@@ -63,14 +72,19 @@ CHECKED_BITS = 16
 def stateful(spark: SparkSession) -> Iterator[None]:
     """Settings a stateful query takes over when it starts.
 
-    State is kept in RocksDB, in as many partitions as the session shuffles into.
+    State is kept in RocksDB, in as many partitions as the session shuffles into, but in no
+    more than ``PER_CORE`` for each core. A checkpoint keeps the number it began with.
     """
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKSDB)
+    shuffled = min(int(spark.conf.get(PARTITIONS)), PER_CORE * spark.sparkContext.defaultParallelism)
+    settings = {STORE: ROCKSDB, CHANGES: "true", PARTITIONS: str(shuffled)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -294,13 +308,26 @@ def _or_none(condition: str) -> Column:
 
 
 def _bucketed(rows: DataFrame, key: str, buckets: int) -> GroupedData:
-    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).groupBy("bucket")
+    return _with_bucket(rows, key, buckets).groupBy("bucket")
+
+
+def _with_bucket(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+
+
+def _packed(rows: DataFrame, key: str, buckets: int, processor: type) -> GroupedData:
+    """The same with the rows in pieces, as a processor's ``INPUT`` has them; an event time does not outlast this."""
+    names = processor.INPUT.names
+    dealt = _with_bucket(rows, key, buckets).select("bucket", *names)
+    pack = packed.packer(processor.INPUT, "bucket", PIECES)
+    return dealt.mapInArrow(pack, f"bucket bigint, {PIECES} binary").groupBy("bucket")
 
 
 def _moves(moves: DataFrame, buckets: int) -> DataFrame:
     entered = complete(moves).select("seq", F.col("key").alias("student"), F.col("value").alias("room"))
-    return _bucketed(entered, "student", buckets).transformWithStateInPandas(Moves(), MOVES_SCHEMA, "update", "none")
+    pieces = _packed(entered, "student", buckets, PackedMoves)
+    return pieces.transformWithStateInPandas(PackedMoves(), MOVES_SCHEMA, "update", "none")
 
 
 def _rooms(log: DataFrame, buckets: int) -> DataFrame:
-    return _bucketed(log, "room", buckets).transformWithStateInPandas(Rooms(), ROOMS_SCHEMA, "append", "none")
+    return _packed(log, "room", buckets, PackedRooms).transformWithStateInPandas(PackedRooms(), ROOMS_SCHEMA, "append", "none")

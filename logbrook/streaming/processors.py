@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from logbrook.streaming.packed import PackedTable, WaitingRows
+from logbrook.streaming.packed import PackedTable, WaitingRows, unpacked
 
 MOVES_SCHEMA = "seq bigint, sub int, room string, delta bigint"
 ALIGNED_MOVES_SCHEMA = f"{MOVES_SCHEMA}, at timestamp"
@@ -29,6 +29,9 @@ ROOMS_SCHEMA = (
 FAULTS_SCHEMA = "topic string, block bigint, version bigint, fault string, seq bigint, n bigint"
 SLICE = 100_000
 
+# The column of packed rows.
+PIECES = "pieces"
+
 
 class Names:
     """Strings as small numbers, in the order they are met."""
@@ -102,6 +105,15 @@ class Moves(StatefulProcessor):
         pass
 
 
+class PackedMoves(Moves):
+    """The same with its rows in pieces."""
+
+    INPUT = pa.schema({"student": pa.string(), "seq": pa.int64(), "room": pa.string()})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        return super().handleInputRows(key, unpacked(rows, self.INPUT, PIECES), timerValues)
+
+
 class AlignedMoves(Moves):
     """The same with each row's place in the order as an event time, for a watermark to go on."""
 
@@ -165,6 +177,17 @@ class Rooms(StatefulProcessor):
         pass
 
 
+class PackedRooms(Rooms):
+    """The same with its rows in pieces."""
+
+    INPUT = pa.schema(
+        {"room": pa.string(), "seq": pa.int64(), "sub": pa.int32(), "moved": pa.bool_(), "amount": pa.int64()}
+    )
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        return super().handleInputRows(key, unpacked(rows, self.INPUT, PIECES), timerValues)
+
+
 class AlignedRooms(Rooms):
     """The same for rows of two topics, each in order, that need not arrive together.
 

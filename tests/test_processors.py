@@ -235,3 +235,23 @@ def test_seen_numbers(seed):
     assert repeats == {number: numbers.count(number) - 1 for number in numbers if numbers.count(number) > 1}
     assert [number for first, last in seen for number in range(first, last + 1)] == sorted(set(numbers))
     assert all(first > last + 1 for (_, last), (first, _) in zip(seen, seen[1:]))
+
+
+def test_packed_rows_reach_the_processor_whole(monkeypatch):
+    """Pieces of any size hold the rows of their bucket and no others; there are far fewer pieces than rows."""
+    names = np.array([f"s{n % 50}" for n in range(3000)], dtype=object)
+    rows = pa.record_batch(
+        {"bucket": np.arange(3000) % 50 % 4, "student": names, "seq": np.arange(3000), "room": names[::-1]}
+    )
+    schema = processors.PackedMoves.INPUT
+    for dealt, size, most in ((1 << 19, 1 << 16, 8), (700, 1 << 16, 20), (1 << 19, 500, 300)):
+        monkeypatch.setattr(packed, "DEALT", dealt)
+        monkeypatch.setattr(packed, "PIECE", size)
+        pieces = [out.to_pandas() for out in packed.packer(schema, "bucket", "pieces")(rows.slice(at, 100) for at in range(0, 3000, 100))]
+        pieces = pd.concat(pieces)
+        assert len(pieces) <= most
+        for bucket, own in pieces.groupby("bucket"):
+            found = pd.concat(packed.unpacked(iter([own]), schema, "pieces"))
+            expected = rows.to_pandas().query("bucket == @bucket")[schema.names]
+            assert sorted(found.itertuples(index=False, name=None)) == sorted(expected.itertuples(index=False, name=None))
+    assert list(packed.packer(schema, "bucket", "pieces")(iter([rows.slice(0, 0)]))) == []

@@ -219,3 +219,34 @@ def test_sequence_check_over_a_restart(spark, tmp_path):
         found = streaming.sequence_faults_so_far(sources.read_topic(spark, out))
         expected = sequence_faults(merge(*log[:upto]).where("seq IS NOT NULL"))
         assert rows(found.select("topic", "seq", "fault", "n")) == rows(expected.select("topic", "seq", "fault", "n"))
+
+
+def test_processors_get_packed_rows(spark, tmp_path):
+    """Spark hands over rows one by one, so 3,000 moves of 300 students come as some pieces by bucket."""
+    moves = spark.range(3000).selectExpr("id AS seq", "string(id % 300) AS key", "string(id % 7) AS value")
+    path, out = write_in_order(moves, tmp_path / "in", 1), str(tmp_path / "out")
+    stream = sources.stream_topic(spark, path, moves.schema)
+    query = run(streaming.start_topic, streaming.running_occupancy_changelog(stream, buckets=4), out)
+    found = sources.read_topic(spark, out).select("seq", "sub", "room", "occupants")
+    assert rows(found) == rows(rooms.room_occupancy_changelog(moves).select("seq", "sub", "room", "occupants"))
+    state = query.lastProgress["stateOperators"]
+    assert all(operator["numRowsUpdated"] <= 4 * 2 for operator in state)
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("MapInArrow") == 2
+
+
+def test_state_is_in_a_bounded_number_of_partitions(spark, golden_log, tmp_path):
+    """However many the session shuffles into; it is left with its own number."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    path = write_in_order(golden_log, tmp_path / "in", 1)
+    moves, _ = golden.topics(sources.stream_topic(spark, path, golden.SCHEMA))
+    try:
+        spark.conf.set(name, "1000")
+        query = run(streaming.start_changes, streaming.running_occupancy(moves, buckets=2), str(tmp_path / "out"))
+        assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.set(name, before)
+    assert rows(occupancy(spark, str(tmp_path / "out"))) == golden.OCCUPANCY
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert all(operator["numShufflePartitions"] <= most for operator in query.lastProgress["stateOperators"])
