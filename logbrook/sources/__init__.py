@@ -12,6 +12,7 @@ from logbrook.sources.topics import (
     to_broker,
     write_broker,
     write_topic,
+    write_topic_files,
 )
 
 __all__ = [
@@ -29,4 +30,5 @@ __all__ = [
     "to_broker",
     "write_broker",
     "write_topic",
+    "write_topic_files",
 ]

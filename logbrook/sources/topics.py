@@ -93,6 +93,15 @@ def write_topic(records: DataFrame, path: str) -> str:
     return path
 
 
+def write_topic_files(records: DataFrame, path: str, files: int) -> str:
+    """Write records to a new topic folder as exactly so many files, dealt out in turn; with fewer records some are empty."""
+    write_topic(records.repartition(files), path)
+    written = len(read_topic(records.sparkSession, path, records.schema).inputFiles())
+    for _ in range(files - written):
+        write_topic(records.limit(0).coalesce(1), path)
+    return path
+
+
 def close_topic(spark: SparkSession, path: str, seq: int) -> str:
     """Append an empty record at ``seq``: the topic has nothing more before it."""
     record = spark.createDataFrame([(seq, None, None)], "seq bigint, key string, value string")

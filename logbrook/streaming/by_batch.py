@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logbrook.operators import latest_per_key, merge
 from logbrook.operators.grouping import complete
-from logbrook.plans.rooms import alert, heavy, matched, room_deltas, room_log, room_states
+from logbrook.plans.rooms import Heavy, alert, capacity_settings, heavy, matched, room_deltas, room_log, room_states
 from logbrook.streaming.pipelines import SNAPSHOT_EVERY, ChangeLog, start
 
 STUDENTS = "student string, room string"
@@ -37,6 +37,9 @@ OPENING = -(1 << 60)
 
 SETTINGS = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
 
+# What a micro-batch keeps lies in partitions as large as its rows ask for, not in all that the session shuffles into.
+COALESCED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
 
 def start_occupancy_changelog(
     moves: DataFrame,
@@ -78,14 +81,27 @@ def batch_states(
 ) -> DataFrame:
     """The rows of ``room_states`` for records that follow those which led to the two tables."""
     busy = heavy(moves, capacities, bits)
+    return _states(opened_log(moves, capacities, students, totals, bits, busy), bits, busy)
+
+
+def opened_log(
+    moves: DataFrame, capacities: DataFrame, students: DataFrame, totals: DataFrame, bits: int | None, busy: Heavy
+) -> DataFrame:
+    """The rows of ``room_log`` for these records, after openings with what the rooms they touch had before."""
     entered = complete(moves).select("seq", "key", "value")
     inside = students.join(entered.select(F.col("key").alias("student")).distinct(), "student", "left_semi")
     opened = inside.select(_opening(), F.col("student").alias("key"), F.col("room").alias("value"))
     deltas = room_deltas(merge(opened, entered), bits, students=busy.students).where(F.col("seq") > OPENING)
     log = room_log(deltas, capacities)
-    held = totals.join(log.select("room").distinct(), "room", "left_semi").select("room", "state.*")
+    # The rooms of the log: those that records name, and those that students who move again are in.
+    named = merge(entered.select(F.col("value").alias("room")), inside.select("room"), capacity_settings(capacities).select("room"))
+    held = totals.join(named.distinct(), "room", "left_semi").select("room", "state.*")
     openings = [_held(held, "occupants", moved=True), _held(held, "size", moved=False)]
-    return room_states(merge(log, *openings), bits=bits, busy=busy.rooms).where(F.col("seq") > OPENING)
+    return merge(log, *openings)
+
+
+def _states(log: DataFrame, bits: int | None, busy: Heavy) -> DataFrame:
+    return room_states(log, bits=bits, busy=busy.rooms).where(F.col("seq") > OPENING)
 
 
 def _opening() -> Column:
@@ -113,7 +129,7 @@ def _start(
     spark = log.sparkSession
     students = ChangeLog(spark, f"{out}-students", STUDENTS, "student", "room", every)
     totals = ChangeLog(spark, f"{out}-rooms", TOTALS, "room", "state", every)
-    settings = {name: spark.conf.get(name) for name in SETTINGS}
+    settings = {name: spark.conf.get(name) for name in SETTINGS} | {COALESCED: "true"}
 
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -121,9 +137,12 @@ def _start(
             session.conf.set(name, value)
         batch = batch.persist()
         moves, capacities = batch.where("moved"), batch.where("NOT moved")
-        states = batch_states(
-            moves, capacities, students.before(session, number), totals.before(session, number), bits
+        busy = heavy(moves, capacities, bits)
+        # Kept, as the windows over the rooms and the summaries of their blocks both read it.
+        rows = opened_log(
+            moves, capacities, students.before(session, number), totals.before(session, number), bits, busy
         ).persist()
+        states = _states(rows, bits, busy).persist()
         try:
             result(states).write.mode("overwrite").parquet(f"{out}/batch={number}")
             rooms = F.max_by(F.struct("occupants", "size"), F.struct("seq", "sub")).alias("state")
@@ -132,6 +151,7 @@ def _start(
             students.write(newest, number)
         finally:
             states.unpersist()
+            rows.unpersist()
             batch.unpersist()
 
     return start(log.writeStream.foreachBatch(write), checkpoint, trigger)

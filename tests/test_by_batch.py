@@ -79,3 +79,28 @@ def test_records_without_key_or_value_and_an_empty_batch(spark):
     sizes = spark.createDataFrame([(3, None, "1"), (4, "a", None), (5, "a", "x")], empty.schema)
     states = by_batch.batch_states(odd, sizes, students, totals).select("seq", "sub", "room", "occupants", "size")
     assert rows(states) == {(2, 1, "a", 1, None)}
+
+
+def test_rooms_of_a_batch_are_found_without_its_windows(spark):
+    """The moves go through their window once, however often the rooms they touch are asked for."""
+    schema = "seq bigint, key string, value string"
+    moves = spark.createDataFrame([(10, "s", "b"), (11, "s", "c"), (12, "t", "c"), (13, "u", None)], schema)
+    sizes = spark.createDataFrame([(14, "d", "4"), (15, "e", "x")], schema)
+    students = spark.createDataFrame([("s", "a"), ("u", "f")], by_batch.STUDENTS)
+    totals = spark.createDataFrame([(room, (1, 2)) for room in "abcdef"], by_batch.TOTALS)
+    log = by_batch.opened_log(moves, sizes, students, totals, None, by_batch.Heavy([], []))
+    assert log._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    opened = log.where(F.col("seq") == by_batch.OPENING).select("room", "moved", "amount")
+    assert rows(opened) == {(room, moved, 1 if moved else 2) for room in "abcd" for moved in (True, False)}
+    states = by_batch.batch_states(moves, sizes, students, totals).select("seq", "sub", "room", "occupants", "size")
+    assert rows(states) == {
+        (10, 0, "a", 0, 2), (10, 1, "b", 2, 2), (11, 0, "b", 1, 2), (11, 1, "c", 2, 2), (12, 1, "c", 3, 2), (14, 0, "d", 1, 4),
+    }
+
+
+@pytest.mark.parametrize("n", [0, 3, 500])
+def test_a_topic_in_so_many_files(spark, tmp_path, n):
+    records = spark.range(n).selectExpr("id AS seq", "string(id) AS key", "'a' AS value")
+    path = sources.write_topic_files(records, str(tmp_path / "in"), 5)
+    assert len(list((tmp_path / "in").glob("*.parquet"))) == 5
+    assert rows(sources.read_topic(spark, path)) == rows(records)
